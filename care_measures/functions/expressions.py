@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import date, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -26,11 +26,23 @@ def like(col: Column | str, pattern: str) -> Column:
 
 
 def like_any(col: Column | str, patterns: Iterable[str]) -> Column:
-    return reduce(lambda a, b: a | b, [like(col, p) for p in patterns], F.lit(False))
+    """Any of the LIKE patterns, read in one pass: wildcard-free ones as a list, the rest as
+    one regular expression."""
+    patterns = [p.lower() for p in patterns]
+    wild = [p for p in patterns if "%" in p or "_" in p]
+    plain = [p for p in patterns if p not in wild]
+    out = F.lower(_c(col)).isin(plain) if plain else F.lit(False)
+    if len(wild) == 1:
+        return out | like(col, wild[0])
+    if wild:
+        parts = ("".join({"%": ".*", "_": "."}.get(c) or re.escape(c) for c in p) for p in wild)
+        out = out | F.lower(_c(col)).rlike("(?s)^(?:" + "|".join(parts) + ")$")
+    return out
 
 
 def not_like_all(col: Column | str, patterns: Iterable[str]) -> Column:
-    return reduce(lambda a, b: a & b, [~like(col, p) for p in patterns], _c(col).isNotNull())
+    """None of the LIKE patterns; unknown, hence dropped by a filter, for NULL."""
+    return ~like_any(col, patterns) & _c(col).isNotNull()
 
 
 def within(ts: Column | str, start: date, end: date) -> Column:

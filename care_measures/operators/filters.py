@@ -17,13 +17,14 @@ def ids_of(df: DataFrame, key: str) -> DataFrame:
 
 
 def cohort(base: DataFrame, key: str, include: Sequence[DataFrame] = (),
-           exclude: Sequence[DataFrame] = ()) -> DataFrame:
+           exclude: Sequence[DataFrame] = (), key_nullable: bool = False) -> DataFrame:
     """Rows of ``base`` whose ``key`` is in every ``include`` and in no ``exclude``.
 
     Both take frames with an ``id`` column (see ``ids_of``). Exclusion follows SQL NOT IN:
-    a NULL id in the list leaves nothing, a NULL key is left out unless the list is empty.
-    Those two cases are read off as scalar conditions and the join itself is a plain anti
-    join, which unlike the null-aware one need not broadcast the list.
+    a NULL id in the list leaves nothing, a NULL key is left out unless the list is empty
+    (tested only with ``key_nullable``; keys that were joined on cannot be NULL). These
+    cases are read off as scalar conditions and the join itself is a plain anti join, which
+    unlike the null-aware one need not broadcast the list.
     """
     out = base
     for ids in include:
@@ -33,7 +34,8 @@ def cohort(base: DataFrame, key: str, include: Sequence[DataFrame] = (),
         known = ids.where("id IS NOT NULL").select(F.col("id").alias("_id")).distinct()
         out = out.join(known, F.col(key) == F.col("_id"), "left_anti")
         out = out.where(~ids.where("id IS NULL").exists())
-        out = out.where(F.col(key).isNotNull() | ~ids.exists())
+        if key_nullable:
+            out = out.where(F.col(key).isNotNull() | ~ids.exists())
     return out
 
 

@@ -48,25 +48,24 @@ def asof_value(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts:
 
 
 def bracket_lookup(patients: DataFrame, matrix: DataFrame) -> DataFrame:
-    """Poverty status by family size and income: (patient_id, poverty_status) pairs.
+    """``patients`` with the poverty status for their family size and income.
 
-    ``patients``: patient_id, company_id, family_size, income. ``matrix``: fee_matrix_id,
+    ``patients`` has company_id, family_size and income. ``matrix``: fee_matrix_id,
     company_id, family_size, income_from, income_to, poverty_status. Sizes above a matrix's
     largest use the largest; incomes above the top bracket of a size use the top bracket;
-    missing size counts as 1 and missing income as 0. The maxima are aggregated first, so
-    only the fee matrix is ever matched by company.
+    missing size counts as 1 and missing income as 0. Patients without a bracket drop out;
+    a company with several matrices gives a row for each. The maxima are aggregated first,
+    so only the fee matrix is ever matched by company.
     """
     m = matrix.select("fee_matrix_id", F.col("company_id").alias("_company"),
-                      F.col("family_size").alias("_size"), "income_from", "income_to",
-                      "poverty_status")
+                      F.col("family_size").alias("_size"), "income_from", "income_to", "poverty_status")
     top_size = matrix.groupBy("fee_matrix_id").agg(F.max("family_size").alias("_max_size"))
     top_income = matrix.groupBy(F.col("fee_matrix_id").alias("_m"), F.col("family_size").alias("_s")
                                 ).agg(F.max("income_to").alias("_max_income"))
     owners = (matrix.select("fee_matrix_id", F.col("company_id").alias("_owner")).distinct()
               .join(top_size, "fee_matrix_id"))
-    p = patients.select("patient_id", "company_id",
-                        F.coalesce("family_size", F.lit(1)).alias("_family"),
-                        F.coalesce("income", F.lit(0)).alias("_income"))
+    p = patients.withColumns({"_family": F.coalesce("family_size", F.lit(1)),
+                              "_income": F.coalesce("income", F.lit(0))})
     sized = p.join(owners, p["company_id"] == owners["_owner"]).withColumn(
         "_fit", F.least("_max_size", "_family")).drop("_owner").withColumnRenamed("fee_matrix_id", "_matrix")
     rows = m.join(top_income, (m["fee_matrix_id"] == top_income["_m"])
@@ -75,7 +74,7 @@ def bracket_lookup(patients: DataFrame, matrix: DataFrame) -> DataFrame:
         rows, (F.col("_matrix") == F.col("fee_matrix_id")) & (F.col("company_id") == F.col("_company"))
         & (F.col("_fit") == F.col("_size")) & (F.col("income_from") <= F.col("_income"))
         & (F.col("income_to") >= F.least("_max_income", "_income"))
-    ).select("patient_id", "poverty_status")
+    ).select(*[p[c] for c in patients.columns], "poverty_status")
 
 
 def follow_up_within(left: DataFrame, right: DataFrame, key: str, left_day: str, right_day: str,

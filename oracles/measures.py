@@ -55,6 +55,17 @@ def any_slot(alias: str, ref: str, n: int = 4, stem: str = "diagnosis_id") -> st
     return "(" + " OR ".join(f"{ref} = {alias}.{stem}_{i}" for i in range(1, n + 1)) + ")"
 
 
+def charged_with(dim: str, where: str = "TRUE") -> str:
+    """Patients with a charge that names a row of ``dim`` in one of its four slots."""
+    return " UNION ALL ".join(
+        f"SELECT ch.patient_id FROM charge_history ch JOIN ({dim}) g{i} ON g{i}.diagnosis_id = ch.diagnosis_id_{i} "
+        f"WHERE {where}" for i in range(1, 5))
+
+
+def charged_on(start: str) -> str:
+    return f"CAST(ch.post_fromdate AS DATE) BETWEEN {start} AND {E}"
+
+
 # Helper relations; each is added in front of a statement that mentions it.
 HELPERS: dict[str, str] = {
     "pts": f"""SELECT *, {age('birthdate')} AS age, CAST(date_sub('month', birthdate, {AS_OF}) AS INTEGER) AS agemonth
@@ -73,11 +84,11 @@ HELPERS: dict[str, str] = {
         FROM patient_note n JOIN patient_note_control c ON n.patient_note_id = c.patient_note_id""",
     "dx": "SELECT * FROM diagnosis WHERE active_yn = 'Y' AND company_id = 9",
     "px": "SELECT * FROM procedure WHERE active_yn = 'Y'",
-    "pregnant": f"""SELECT ch.patient_id FROM charge_history ch JOIN dx ON {any_slot('ch', 'dx.diagnosis_id')}
-        WHERE lower(dx.icd9) IN ({_list(vs.SUPERVISED_PREGNANCY)})
-        AND CAST(ch.post_fromdate AS DATE) BETWEEN {YEAR_BEFORE_END} AND {E}""",
-    "regpts": f"""SELECT *, {age('birth_date')} AS age FROM patient WHERE active_yn = 'Y' AND deleted_yn <> 'Y'
-        AND company_id = 9 QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY modified_date DESC) = 1""",
+    "pregnant": charged_with(f"SELECT diagnosis_id FROM dx WHERE lower(icd9) IN ({_list(vs.SUPERVISED_PREGNANCY)})",
+                             charged_on(YEAR_BEFORE_END)),
+    "regpts": f"""SELECT p.*, {age('birth_date')} AS age FROM patient p JOIN (SELECT patient_id, max(modified_date) AS latest
+        FROM patient WHERE active_yn = 'Y' AND deleted_yn <> 'Y' AND company_id = 9 GROUP BY patient_id) m
+        ON m.patient_id = p.patient_id AND m.latest = p.modified_date WHERE p.active_yn = 'Y'""",
     "dpat": f"""SELECT *, {age('birthdate')} AS age FROM ddb_pat WHERE status = 1
         AND NOT (lower(lastname) = 'test' AND lower(firstname) = 'test')
         QUALIFY row_number() OVER (PARTITION BY patid ORDER BY ddb_last_mod DESC) = 1""",
@@ -112,7 +123,9 @@ def with_tables(sql: str) -> str:
                 needed.append(name)
 
     visit(sql)
-    ctes = [dt.as_cte(n) if n in dt.TABLES else f"{n} AS ({HELPERS[n]})" for n in needed]
+    # The lab join is evaluated by itself: its history ids are no useful join keys.
+    ctes = [dt.as_cte(n) if n in dt.TABLES else
+            f"{n} AS {'MATERIALIZED ' if n == 'results' else ''}({HELPERS[n]})" for n in needed]
     return f"WITH {', '.join(ctes)} {sql}"
 
 
@@ -207,16 +220,15 @@ WHERE CAST(a.booking_date AS DATE) BETWEEN {S} AND {E} AND lower(a.status) NOT I
 SQL["m03_cervical_cancer"] = f"""
 SELECT concat(v.last_name, ', ', v.first_name) AS "Provider", coalesce(v.short_name, '') AS "Clinic",
   v.patientid AS "Patient ID", {us('v.birthdate')} AS "DOB", v.age AS "Age", {us('v.note_datetime')} AS "DOS",
-  coalesce({us('''(SELECT max(ts) FROM results r WHERE r.pid = v.pid
-    AND CAST(r.ts AS DATE) BETWEEN DATE '1995-06-01' AND ''' + E + f''' AND {_ilike('r.result_code', vs.PAP_RESULT_PATTERNS)}
-    AND {_ilike('r.obr_order_code', vs.PAP_ORDER_PATTERNS)})''')}, '') AS "Last Pap Date",
+  coalesce({us('pap.ts')}, '') AS "Last Pap Date",
   {consents('v.pid', 'v.day', *TELE_LOWER)}
 FROM ({last_note('mednotes', 'medphys', where=f'''p.age BETWEEN 21 AND 64 AND p.sex = 'F' AND p.rn = 1
   AND EXISTS (SELECT 1 FROM patientappt a WHERE a.patientprofileid = n.patientprofileid AND a.visit_type_id <> 58849498
     AND CAST(a.booking_date AS DATE) = CAST(n.note_datetime AS DATE))''')}) v
-WHERE EXISTS (SELECT 1 FROM charge_history ch JOIN diagnosis dg ON {any_slot('ch', 'dg.diagnosis_id')}
-  WHERE ch.patient_id = v.pid AND dg.icd9 <> 'Z90.710'
-  AND CAST(ch.post_fromdate AS DATE) BETWEEN DATE '1995-06-01' AND {E})"""
+LEFT JOIN (SELECT pid, max(ts) AS ts FROM results WHERE CAST(ts AS DATE) BETWEEN DATE '1995-06-01' AND {E}
+  AND {_ilike('result_code', vs.PAP_RESULT_PATTERNS)} AND {_ilike('obr_order_code', vs.PAP_ORDER_PATTERNS)}
+  GROUP BY pid) pap ON pap.pid = v.pid
+WHERE v.pid IN ({charged_with("SELECT diagnosis_id FROM diagnosis WHERE icd9 <> 'Z90.710'", charged_on("DATE '1995-06-01'"))})"""
 
 _ICD10 = "(" + _ilike("icd9", vs.SEXUALLY_ACTIVE_ICD10_PATTERNS) + " OR " + " OR ".join(
     f"upper(icd9) BETWEEN '{a}' AND '{b}'" for a, b in vs.SEXUALLY_ACTIVE_ICD10_RANGES) + ")"
@@ -227,12 +239,11 @@ SELECT v.provider_name AS "Provider", v.short_name AS "Clinic", v.patientid AS "
   coalesce({us('lab.ts')}, '') AS "Test Date In Last 12 mo", CASE WHEN lab.ts IS NULL THEN 'N' ELSE 'Y' END AS "Met",
   {consents('v.pid', 'v.day', *TELE)}
 FROM ({last_note('mednotes', 'medphys', where="p.age BETWEEN 13 AND 24 AND p.sex = 'F' AND p.rn = 1")}) v
-LEFT JOIN (SELECT pid, max(ts) AS ts FROM results WHERE sh = rh AND sh = ih AND sh = vh AND result_status IS NOT NULL
+LEFT JOIN (SELECT pid, max(ts) AS ts FROM results WHERE abs(sh - rh) + abs(sh - ih) + abs(sh - vh) = 0 AND result_status IS NOT NULL
   AND lower(result_desc) IN ({_list(vs.CHLAMYDIA_RESULTS)})
   AND CAST(ts AS DATE) BETWEEN {YEAR_BEFORE_START} AND {E} GROUP BY pid) lab ON lab.pid = v.pid
-WHERE v.pid IN (SELECT ch.patient_id FROM charge_history ch JOIN (SELECT * FROM dx WHERE
-    (icd10_yn = 'N' AND lower(icd9) IN ({_list(vs.SEXUALLY_ACTIVE_ICD9)})) OR (icd10_yn = 'Y' AND {_ICD10})) g
-    ON {any_slot('ch', 'g.diagnosis_id')})
+WHERE v.pid IN ({charged_with(f'''SELECT diagnosis_id FROM dx WHERE (icd10_yn = 'N'
+    AND lower(icd9) IN ({_list(vs.SEXUALLY_ACTIVE_ICD9)})) OR (icd10_yn = 'Y' AND {_ICD10})''')})
   OR v.pid IN (SELECT ch.patient_id FROM charge_history ch
     LEFT JOIN (SELECT procedure_id FROM px WHERE lower(procedure_code) IN ({_list(vs.SEXUALLY_ACTIVE_PROCEDURES)})) c
       ON ch.procedure_id = c.procedure_id
@@ -267,8 +278,8 @@ FROM (SELECT y.*, CASE WHEN ({num('score')}) > 9 THEN 1 ELSE 0 END AS pos FROM (
     LEFT JOIN (SELECT pid, d, {_LEAD} AS v FROM obs WHERE f IN (15423, 15957, 15815, 15816) AND {_WINDOW} AND trim(v) <> ''
       QUALIFY row_number() OVER (PARTITION BY pid ORDER BY ts DESC, nid DESC, obs.v DESC) = 1) q2 ON q2.pid = v.pid
     WHERE v.pid IN (SELECT pid FROM fields WHERE f IN (3696, 15095, 15096, 15097, 15423) AND d BETWEEN {S} AND {E})
-      AND v.pid NOT IN (SELECT ch.patient_id FROM charge_history ch JOIN dx ON {any_slot('ch', 'dx.diagnosis_id')}
-        WHERE upper(dx.icd9) BETWEEN 'F30' AND 'F39' AND CAST(ch.post_fromdate AS DATE) BETWEEN {YEAR_BEFORE_START} AND {E})
+      AND v.pid NOT IN ({charged_with("SELECT diagnosis_id FROM dx WHERE upper(icd9) BETWEEN 'F30' AND 'F39'",
+                                      charged_on(YEAR_BEFORE_START))})
   ) x) y) z""".replace("WITH_SCORES\n", "")
 
 SQL["m06_notes_signed_off"] = f"""
@@ -305,18 +316,20 @@ FROM (SELECT DISTINCT b.superbill_datetime, p.patientid, CASE WHEN b.signedby <=
     AND vt.description NOT ILIKE '%cpsp%' AND vt.description NOT ILIKE 'ob%' AND vt.description NOT ILIKE 'nurse%'
     AND vt.description NOT ILIKE 'cm%' AND vt.description NOT ILIKE 'dental%' AND vt.description NOT ILIKE 'mat%') q"""
 
-_FIT_WINDOW = f"CAST(ts AS DATE) BETWEEN DATE '1996-06-01' AND {E} AND sh = rh AND sh = ih AND sh = vh"
+_FIT_WINDOW = f"CAST(ts AS DATE) BETWEEN DATE '1996-06-01' AND {E} AND abs(sh - rh) + abs(sh - ih) + abs(sh - vh) = 0"
 
 SQL["m08_colorectal_cancer"] = f"""
 SELECT provider_name AS "Provider", short_name AS "Clinic", patientid AS "Patient ID", sex AS "Gender",
   {us('birthdate')} AS "DOB", age AS "Age", {us('note_datetime')} AS "DOS",
-  coalesce({us(f"(SELECT max(ts) FROM results r WHERE r.pid = v.pid AND {_FIT_WINDOW} AND result_code IN ({_list(vs.FIT_RESULTS)}))")}, '')
-    AS "Last FIT Date",
-  coalesce({us(f"(SELECT max(ts) FROM results r WHERE r.pid = v.pid AND {_FIT_WINDOW} AND result_code ILIKE 'RESULT_1' AND result_desc ILIKE 'Occult%')")}, '')
-    AS "In Office FOBT",
-  coalesce({us("(SELECT max(doc_date) FROM document o WHERE o.patientprofileid = v.pid AND file_name ILIKE '%FOBT%')")}, '')
-    AS "Last FOBT Scanned", {consents('v.pid', 'v.day', *TELE)}
-FROM ({last_note('mednotes', 'medphys', where=f"p.age BETWEEN 45 AND 75 AND {NOT_LEFT_OUT}")}) v"""
+  coalesce({us('fit')}, '') AS "Last FIT Date", coalesce({us('office')}, '') AS "In Office FOBT",
+  coalesce({us('scan')}, '') AS "Last FOBT Scanned", {consents('v.pid', 'v.day', *TELE)}
+FROM ({last_note('mednotes', 'medphys', where=f"p.age BETWEEN 45 AND 75 AND {NOT_LEFT_OUT}")}) v
+LEFT JOIN (SELECT pid, max(ts) AS fit FROM results WHERE {_FIT_WINDOW} AND result_code IN ({_list(vs.FIT_RESULTS)})
+  GROUP BY pid) a ON a.pid = v.pid
+LEFT JOIN (SELECT pid, max(ts) AS office FROM results WHERE {_FIT_WINDOW} AND result_code ILIKE 'RESULT_1'
+  AND result_desc ILIKE 'Occult%' GROUP BY pid) b ON b.pid = v.pid
+LEFT JOIN (SELECT patientprofileid AS pid, max(doc_date) AS scan FROM document WHERE file_name ILIKE '%FOBT%'
+  GROUP BY 1) c ON c.pid = v.pid"""
 
 _BP_OK = f"({num('v')}) IS NOT NULL"
 
@@ -334,10 +347,9 @@ FROM (SELECT y.*, CASE WHEN TRY_CAST(s1 AS INTEGER) < lim AND TRY_CAST(d1 AS INT
   SELECT x.*, CASE WHEN age >= 60 AND well = 1 THEN 150 ELSE 140 END AS lim,
     {on(12848, 'x.pid', 'x.day', _BP_OK)} AS s1, {on(12849, 'x.pid', 'x.day', _BP_OK)} AS d1,
     {on(13259, 'x.pid', 'x.day', _BP_OK)} AS s2, {on(13260, 'x.pid', 'x.day', _BP_OK)} AS d2
-  FROM (SELECT v.*, CASE WHEN v.pid IN (SELECT ch.patient_id FROM charge_history ch JOIN diagnosis g
-        ON {any_slot('ch', 'g.diagnosis_id')} WHERE ch.company_id = 9 AND g.company_id = 9
-        AND {_ilike('g.icd9', vs.DIABETES_OR_CKD_PATTERNS)}
-        AND CAST(ch.post_fromdate AS DATE) BETWEEN DATE '1998-02-01' AND {E}) THEN 0 ELSE 1 END AS well
+  FROM (SELECT v.*, CASE WHEN v.pid IN ({charged_with(
+        f"SELECT diagnosis_id FROM diagnosis WHERE company_id = 9 AND {_ilike('icd9', vs.DIABETES_OR_CKD_PATTERNS)}",
+        "ch.company_id = 9 AND " + charged_on("DATE '1998-02-01'"))}) THEN 0 ELSE 1 END AS well
     FROM ({last_note('mednotes', 'phys', where="p.age BETWEEN 18 AND 85 AND p.rn = 1")}) v
     WHERE v.pid IN (SELECT pid FROM fields WHERE f IN (12848, 12849, 13259, 13260) AND d BETWEEN {S} AND {E})) x) y) z"""
 
@@ -466,9 +478,8 @@ FROM (SELECT v.*, CASE WHEN nv.v IS NOT NULL AND (lab.v IS NULL OR nv.d >= lab.d
     AND result_code IN ('2040', '50026400') AND CAST(ts AS DATE) BETWEEN {YEAR_BEFORE_START} AND {E}
     AND TRY_CAST(result_value AS DECIMAL(10,2)) IS NOT NULL AND result_value <> ''
     QUALIFY row_number() OVER (PARTITION BY pid ORDER BY ts DESC, iid DESC, result_value DESC) = 1) lab ON lab.pid = v.pid
-  WHERE v.age >= 18 AND v.pid IN (SELECT ch.patient_id FROM charge_history ch JOIN diagnosis g
-    ON {any_slot('ch', 'g.diagnosis_id')} WHERE {_ilike('g.icd9', vs.DIABETES_PATTERNS)}
-    AND CAST(ch.post_fromdate AS DATE) BETWEEN {YEAR_BEFORE_START} AND {E})) q"""
+  WHERE v.age >= 18 AND v.pid IN ({charged_with(f"SELECT diagnosis_id FROM diagnosis WHERE {_ilike('icd9', vs.DIABETES_PATTERNS)}",
+                                               charged_on(YEAR_BEFORE_START))})) q"""
 
 SQL["m19_document_sign_off"] = f"""
 SELECT ph.provider_name AS "Provider",
@@ -593,10 +604,12 @@ WHERE CAST(n.note_datetime AS DATE) BETWEEN {S} AND {E}"""
 
 
 def _charged(procedures: str, codes: str, diagnoses: str, dx_test: str) -> str:
-    return f"""SELECT ch.patient_id FROM charge_history ch JOIN {procedures} pc ON pc.procedure_id = ch.procedure_id
-    JOIN {diagnoses} g ON {any_slot('ch', 'g.diagnosis_id')}
-    WHERE CAST(ch.post_fromdate AS DATE) BETWEEN {YEAR_BEFORE_START} AND {E}
-      AND (lower(pc.procedure_code) IN ({_list(codes)}) OR {dx_test})"""
+    """Charges with a known procedure and diagnosis, one of the two in its list."""
+    known = f"SELECT procedure_id FROM {procedures}"
+    listed = f"{known} WHERE lower(procedure_code) IN ({_list(codes)})"
+    when = charged_on(YEAR_BEFORE_START)
+    return (charged_with(f"SELECT diagnosis_id FROM {diagnoses}", f"{when} AND ch.procedure_id IN ({listed})") + " UNION ALL "
+            + charged_with(f"SELECT diagnosis_id FROM {diagnoses} g WHERE {dx_test}", f"{when} AND ch.procedure_id IN ({known})"))
 
 
 _KEPT = f"""SELECT a.patientprofileid AS pid, CAST(a.booking_date AS DATE) AS dos, dep.short_name, ph.degree, ph.provider_name,
@@ -651,9 +664,8 @@ FROM (SELECT *, CASE WHEN pid IN (SELECT n.patientprofileid FROM patient_note n
 JOIN regpts p ON p.patient_id = k.pid
 WHERE p.age BETWEEN 12 AND 50
   AND p.patient_id IN ({_charged('px', vs.FAMILY_PLANNING_VISIT_PROCEDURES, 'dx', f"lower(g.icd9) IN ({_list(vs.CONTRACEPTION_DIAGNOSES)})")})
-  AND p.patient_id NOT IN (SELECT ch.patient_id FROM charge_history ch JOIN dx g ON {any_slot('ch', 'g.diagnosis_id')}
-    WHERE CAST(ch.post_fromdate AS DATE) BETWEEN {YEAR_BEFORE_START} AND {E}
-    AND lower(g.icd9) IN ({_list(vs.STERILISED_OR_MENOPAUSAL)}))"""
+  AND p.patient_id NOT IN ({charged_with(f"SELECT diagnosis_id FROM dx WHERE lower(icd9) IN ({_list(vs.STERILISED_OR_MENOPAUSAL)})",
+                                         charged_on(YEAR_BEFORE_START))})"""
 
 _SIX = "d >= DATE '1997-12-01'"
 SQL["m30_tobacco"] = f"""

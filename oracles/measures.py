@@ -152,13 +152,14 @@ def last_note(notes: str, providers: str, dept: bool = True, extra: str = "", wh
     """Newest note of each patient in the month with an eligible provider and patient."""
     d = "JOIN department dep ON n.dept_id = dep.departmentid" if dept else ""
     short = "dep.short_name," if dept else ""
+    tie = ", dep.short_name DESC NULLS LAST" if dept else ""  # versions of one note
     return f"""SELECT n.patientprofileid AS pid, n.note_datetime, CAST(n.note_datetime AS DATE) AS day, {short}
         ph.provider_name, ph.last_name, ph.first_name, p.patientid, p.birthdate, p.age, p.agemonth, p.sex
         FROM {notes} n JOIN {providers} ph ON n.doctorid = ph.doctorid {d}
         JOIN pts p ON n.patientprofileid = p.patientprofileid {extra}
         WHERE CAST(n.note_datetime AS DATE) BETWEEN {S} AND {E} AND {where}
         QUALIFY row_number() OVER (PARTITION BY n.patientprofileid
-          ORDER BY n.note_datetime DESC, n.patient_note_id DESC) = 1"""
+          ORDER BY n.note_datetime DESC, n.patient_note_id DESC, ph.provider_name DESC {tie}) = 1"""
 
 
 NOT_LEFT_OUT = "ph.provider_name <> 'Last3, First3'"

@@ -126,7 +126,7 @@ def with_tables(sql: str) -> str:
     # The lab join is evaluated by itself: its history ids are no useful join keys.
     ctes = [dt.as_cte(n) if n in dt.TABLES else
             f"{n} AS {'MATERIALIZED ' if n == 'results' else ''}({HELPERS[n]})" for n in needed]
-    return f"WITH {', '.join(ctes)} {sql}"
+    return f"WITH {', '.join(ctes)} {sql}" if ctes else sql
 
 
 def at(field: int | str, pid: str, when: str, ok: str = "TRUE") -> str:

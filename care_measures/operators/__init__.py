@@ -10,16 +10,17 @@ from .events import milestones, stage_durations
 from .filters import cohort, exclude_after_hours, exclude_by_name, ids_of
 from .labs import lab_results
 from .lookup import asof_value, bracket_lookup, follow_up_within
-from .observations import (consent_flags, daily_observations, latest_observations,
-                           observations_asof, observations_exact)
+from .observations import (Lookup, consent_flags, daily_observations, in_window,
+                           latest_observations, observations_asof, observations_exact, observe,
+                           on_day, up_to_day)
 from .ranking import current_version, earliest_per_key, latest_per_key
 from .report import report
 from .slots import slot_any_match, slot_join
 
 __all__ = [
-    "asof_value", "bracket_lookup", "cohort", "consent_flags", "current_version",
+    "Lookup", "asof_value", "bracket_lookup", "cohort", "consent_flags", "current_version",
     "daily_observations", "earliest_per_key", "exclude_after_hours", "exclude_by_name",
-    "follow_up_within", "ids_of", "lab_results", "latest_observations", "latest_per_key",
-    "milestones", "next_booking", "observations_asof", "observations_exact", "report",
-    "responses_wide", "slot_any_match", "slot_join", "stage_durations",
+    "follow_up_within", "ids_of", "in_window", "lab_results", "latest_observations", "latest_per_key",
+    "milestones", "next_booking", "observations_asof", "observations_exact", "observe", "on_day", "report",
+    "responses_wide", "slot_any_match", "slot_join", "stage_durations", "up_to_day",
 ]

@@ -1,13 +1,15 @@
 """Entity-attribute-value lookups: note fields by patient, day and field id.
 
-``data_value`` rows are read once for all fields a measure needs and reduced to one row per
-patient and day. Every lookup the reports make (same day, newest in a window, newest up to
-a day) compares days, so the rest works on that small table.
+Measures look fields up for one visit per patient. ``observe`` answers all their lookups
+(same day, newest in a window, newest up to the day) in one pass over the notes of the
+patients seen. Where a patient has several visits the values are first reduced to one row
+per patient and day (``daily_observations``), and the lookups compare days.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,11 +23,61 @@ Keep = Callable[[Column], Column]
 PATIENT = "patientprofileid"
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """Newest accepted value of some fields; ``when`` compares its day with the visit's."""
+
+    fields: Sequence[int]
+    when: Callable[[Column, Column], Column]
+    keep: Keep | None = None
+    prefer: Keep | None = None
+
+
+def on_day(*fields: int, keep: Keep | None = None) -> Lookup:
+    return Lookup(fields, lambda d, visit: d == visit, keep)
+
+
+def up_to_day(*fields: int, since: date | None = None) -> Lookup:
+    if since is None:
+        return Lookup(fields, lambda d, visit: d <= visit)
+    return Lookup(fields, lambda d, visit: (d <= visit) & (d >= F.lit(since)))
+
+
+def in_window(*fields: int, start: date | None = None, end: date | None = None, keep: Keep | None = None,
+              prefer: Keep | None = None) -> Lookup:
+    def when(d: Column, visit: Column) -> Column:
+        after = F.lit(True) if start is None else d >= F.lit(start)
+        return after if end is None else after & (d <= F.lit(end))
+
+    return Lookup(fields, when, keep, prefer)
+
+
+def observe(visits: DataFrame, notes: DataFrame, controls: DataFrame, lookups: Mapping[str, Lookup],
+            end: date, start: date | None = None, visit_day: str = "day") -> DataFrame:
+    """``visits`` with a value and a day (``name``, ``name_day``) for each lookup.
+
+    ``visits`` holds one row per patient. Notes from ``start`` to ``end`` are first cut down
+    to the patients seen, then joined with the wanted fields and reduced by patient with a
+    partial aggregate, so the field table is read once whatever the number of lookups and
+    no pairs of visits and values are formed beyond one per value.
+    """
+    seen = visits.select(F.col(PATIENT).alias("_patient"), F.col(visit_day).alias("_visit_day"))
+    long = _long(notes.join(seen, F.col(PATIENT) == F.col("_patient")),
+                 controls, {n: x.fields for n, x in lookups.items()}, start, end, "_visit_day")
+    d = day("note_datetime")
+    best = long.groupBy(F.col(PATIENT).alias("_patient")).agg(*[
+        _newest(x.fields, x.keep, x.prefer, x.when(d, F.col("_visit_day"))).alias(n)
+        for n, x in lookups.items()])
+    best = best.select("_patient", *[c for n in lookups for c in (
+        F.col(n)["value"].alias(n), day(F.col(n)["at"]).alias(f"{n}_day"))])
+    return visits.join(best, F.col(PATIENT) == F.col("_patient"), "left").drop("_patient")
+
+
 def _long(notes: DataFrame, controls: DataFrame, fields: Fields, start: date | None,
-          end: date | None) -> DataFrame:
+          end: date | None, *extra: str) -> DataFrame:
     """(patient, timestamp, note, field, value) of the wanted fields and days."""
     ids = sorted({i for f in fields.values() for i in f})
-    n = notes.select("patient_note_id", PATIENT, "note_datetime")
+    n = notes.select("patient_note_id", PATIENT, "note_datetime", *extra)
     if start is not None:
         n = n.where(within("note_datetime", start, end))
     elif end is not None:
@@ -35,10 +87,13 @@ def _long(notes: DataFrame, controls: DataFrame, fields: Fields, start: date | N
     return n.join(c, "patient_note_id")
 
 
-def _newest(ids: Sequence[int], keep: Keep | None, prefer: Keep | None) -> Column:
+def _newest(ids: Sequence[int], keep: Keep | None, prefer: Keep | None,
+            when: Column | None = None) -> Column:
     """Newest accepted (timestamp, value) of a field; note id and value break ties."""
     value = F.col("data_value")
     ok = F.col("template_field_id").isin(list(ids))
+    if when is not None:
+        ok = ok & when
     if keep is not None:
         ok = ok & keep(value)
     first = [] if prefer is None else [prefer(value).alias("preferred")]

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import valuesets as vs
 from ..functions.expressions import day, within
 from ..functions.periods import Period
 from ..functions.valuesets import ValueSet
 from ..operators.filters import ids_of
-from ..operators.observations import PATIENT, consent_flags
+from ..operators.observations import PATIENT, Lookup, observe, up_to_day
 from ..operators.ranking import latest_per_key
 from ..operators.slots import slot_join
 from ..sources import views
@@ -50,10 +50,15 @@ def latest_visit(visits: DataFrame, providers: DataFrame, departments: DataFrame
     return v.withColumn("day", day(ts))
 
 
-def with_consents(src: Source, visits: DataFrame, end: date) -> DataFrame:
-    cfg = src.config
-    return consent_flags(visits, notes(src), controls(src), cfg.telehealth_consent_field,
-                         cfg.telephone_consent_field, end)
+def look_up(src: Source, visits: DataFrame, p: Period, start: date | None = None, **lookups: Lookup) -> DataFrame:
+    """Add note-field lookups and the two consents in force on the visit's day.
+
+    Consents reach back through the whole history; measures without them pass ``start``.
+    """
+    if start is None:
+        lookups["telehealth_consent"] = up_to_day(src.config.telehealth_consent_field)
+        lookups["telephone_consent"] = up_to_day(src.config.telephone_consent_field)
+    return observe(visits, notes(src), controls(src), lookups, p.end, start)
 
 
 def diagnosed(src: Source, dim: DataFrame, codes: ValueSet | None = None, start: date | None = None,
@@ -80,10 +85,3 @@ def with_fields(src: Source, fields: tuple[int, ...], start: date, end: date,
     c = c if where is None else c.where(where)
     n = notes(src).where(within("note_datetime", start, end)).select("patient_note_id", PATIENT)
     return ids_of(n.join(c.select("patient_note_id"), "patient_note_id"), PATIENT)
-
-
-def add_latest(daily: DataFrame, name: str, as_name: str) -> DataFrame:
-    """Add the patient's newest value over all days of a daily table."""
-    w = Window.partitionBy(PATIENT)
-    best = F.max(F.when(F.col(name).isNotNull(), F.struct("day", F.col(name).alias("v")))).over(w)
-    return daily.withColumn(as_name, best["v"])

@@ -10,12 +10,12 @@ from ..functions.expressions import (PLACEHOLDERS, first_present, flag, like, or
                                      us_date, within)
 from ..functions.periods import Period
 from ..operators.filters import cohort
-from ..operators.observations import PATIENT, daily_observations, observations_exact
+from ..operators.observations import PATIENT, observe, on_day
 from ..operators.ranking import earliest_per_key, latest_per_key
 from ..operators.report import report
 from ..sources import views
 from ..sources.tables import Source
-from .common import controls, latest_visit, notes, one_row, with_fields
+from .common import controls, latest_visit, look_up, notes, one_row, with_fields
 
 
 def _initial_ob_notes(src: Source, p: Period) -> DataFrame:
@@ -30,9 +30,9 @@ def maternal_depression(src: Source, as_of: date) -> DataFrame:
     v = latest_visit(ob, views.providers(src), views.departments(src))
     v = v.join(views.patients(src, as_of), PATIENT)
     # A score counts when it was recorded on the visit's day; the day's newest is taken.
-    scores = daily_observations(ob, controls(src), {"t1": (15095,), "t2": (15096,), "t3": (15097,)}, p.start, p.end,
-                                keep=lambda s: ~F.trim(s).isin(list(PLACEHOLDERS)) & try_int(s).isNotNull())
-    v = observations_exact(v, scores)
+    number = lambda s: ~F.trim(s).isin(list(PLACEHOLDERS)) & try_int(s).isNotNull()
+    v = observe(v, ob, controls(src), {"t1": on_day(15095, keep=number), "t2": on_day(15096, keep=number),
+                                       "t3": on_day(15097, keep=number)}, p.end, p.start)
     score = F.coalesce("t3", "t2", "t1")
     return report(v, {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid",
@@ -61,8 +61,7 @@ def perinatal_health(src: Source, as_of: date) -> DataFrame:
     v = latest_visit(seen, views.providers(src), views.departments(src))
     v = cohort(v, PATIENT, include=[delivered], exclude=[lost])
     v = v.join(one_row(views.patients(src, as_of, unique=False)), PATIENT)
-    v = observations_exact(v, daily_observations(notes(src), controls(src), {
-        "delivery": (15085,), "w1": (15127,), "w2": (15141,), "w3": (15142,)}, p.start, p.end))
+    v = look_up(src, v, p, p.start, delivery=on_day(15085), w1=on_day(15127), w2=on_day(15141), w3=on_day(15142))
     weights = ("w1", "w2", "w3")
 
     def weight_class(prefix: str):

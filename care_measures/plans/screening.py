@@ -13,12 +13,12 @@ from ..functions.periods import Period
 from ..functions.valuesets import ValueSet
 from ..operators.filters import cohort, ids_of
 from ..operators.labs import lab_results
-from ..operators.observations import PATIENT, daily_observations, latest_observations, observations_asof
+from ..operators.observations import PATIENT, in_window, latest_observations, up_to_day
 from ..operators.report import report
 from ..operators.slots import slot_join
 from ..sources import views
 from ..sources.tables import Source
-from .common import (DX_SLOTS, controls, diagnosed, latest_visit, notes, one_row, with_consents, with_fields)
+from .common import DX_SLOTS, controls, diagnosed, latest_visit, look_up, one_row
 
 
 def _labs(src: Source, start: date, end: date, *, hist: str, values: bool = True,
@@ -61,7 +61,7 @@ def cervical_cancer(src: Source, as_of: date) -> DataFrame:
                    "patient_id")] if src.config.exclude_hysterectomy else [])
     v = cohort(v, PATIENT, include=[ids_of(others, "patient_id")], exclude=cut)
     women = views.patients(src, as_of).where(F.col("age").between(21, 64) & (ci("sex") == "f"))
-    v = with_consents(src, v.join(women, PATIENT).join(pap, PATIENT, "left"), p.end)
+    v = look_up(src, v.join(women, PATIENT).join(pap, PATIENT, "left"), p)
     return report(v, {
         "Provider": "provider_name", "Clinic": or_blank("short_name"), "Patient ID": "patientid",
         "DOB": us_date("birthdate"), "Age": "age", "DOS": us_date("note_datetime"),
@@ -98,7 +98,7 @@ def chlamydia(src: Source, as_of: date) -> DataFrame:
     v = latest_visit(seen, views.medical_providers(src), views.departments(src))
     women = views.patients(src, as_of).where(F.col("age").between(13, 24) & (ci("sex") == "f"))
     v = cohort(v.join(women, PATIENT), PATIENT, include=[active])
-    v = with_consents(src, v.join(tests, PATIENT, "left"), p.end)
+    v = look_up(src, v.join(tests, PATIENT, "left"), p)
     return report(v, {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid",
         "Date Of Birth": us_date("birthdate"), "Age": "age", "Last Visit Date": us_date("note_datetime"),
@@ -114,22 +114,20 @@ def depression(src: Source, as_of: date) -> DataFrame:
     filled = lambda v: F.trim(v) != ""
     number = lambda v: try_int(v).isNotNull()
 
-    scores = latest_observations(
-        notes(src), controls(src),
-        {"phq9": (15095, 15096, 15097, 3696, 15958), "phq2": (15423, 15957, 15815, 15816)},
-        since, p.end, keep={"phq9": number, "phq2": filled}, prefer={"phq9": try_int})
-    scores = scores.withColumn("phq2", leading_score("phq2"))
-    plan = latest_observations(views.medical_notes(src, since, p.end), controls(src), {"plan": (15143,)},
-                               since, p.end, keep=number)
-    dates = latest_observations(notes(src), controls(src), {"screen1": (15593,), "screen2": (14765,)}, None, p.end)
-
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
     v = cohort(v.join(views.patients(src, as_of).where("age >= 12"), PATIENT), PATIENT,
-               include=[with_fields(src, (3696, 15095, 15096, 15097, 15423), p.start, p.end)],
                exclude=[diagnosed(src, views.diagnoses(src), ValueSet(ranges=vs.DEPRESSION_RANGE), since, p.end)])
-    for side in (scores, plan.select(PATIENT, "plan"), dates.select(PATIENT, "screen1", "screen2")):
-        v = v.join(side, PATIENT, "left")
+    v = look_up(
+        src, v, p, recent=in_window(3696, 15095, 15096, 15097, 15423, start=p.start),
+        phq9=in_window(15095, 15096, 15097, 3696, 15958, start=since, keep=number, prefer=try_int),
+        phq2=in_window(15423, 15957, 15815, 15816, start=since, keep=filled),
+        screen1=in_window(15593), screen2=in_window(14765))
+    v = v.where(F.col("recent_day").isNotNull()).withColumn("phq2", leading_score("phq2"))
+    # The follow-up plan counts only from medical notes.
+    plan = latest_observations(views.medical_notes(src, since, p.end), controls(src), {"plan": (15143,)},
+                               since, p.end, keep=number)
+    v = v.join(plan.select(PATIENT, "plan"), PATIENT, "left")
 
     phq2_empty = F.col("phq2").isNull() | (F.rtrim("phq2") == "0")
     score = (F.when(F.col("age") < 18, F.col("phq9"))
@@ -143,7 +141,6 @@ def depression(src: Source, as_of: date) -> DataFrame:
     v = v.withColumns({"screened": F.col("screened_on").isNotNull(),
                        "positive": F.coalesce(try_int("score") > 9, F.lit(False)),
                        "planned": F.coalesce(F.col("plan") == "1", F.lit(False))})
-    v = with_consents(src, v, p.end)
     return report(v, {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid", "Age": "age",
         "DOS": us_date("note_datetime"), "Last PHQ Score": or_blank("score"),
@@ -172,7 +169,7 @@ def colorectal_cancer(src: Source, as_of: date) -> DataFrame:
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
     people = one_row(views.patients(src, as_of, unique=False).where(F.col("age").between(45, 75)))
     v = v.join(people, PATIENT).join(lab, PATIENT, "left").join(scan, PATIENT, "left")
-    return report(with_consents(src, v, p.end), {
+    return report(look_up(src, v, p), {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid", "Gender": "sex",
         "DOB": us_date("birthdate"), "Age": "age", "DOS": us_date("note_datetime"),
         "Last FIT Date": or_blank(us_date("fit")), "In Office FOBT": or_blank(us_date("office")),
@@ -195,7 +192,6 @@ def diabetic_a1c(src: Source, as_of: date) -> DataFrame:
         F.max(F.struct("obr_obs_datetime", "lab_result_item_id", "result_value")).alias("lab"))
     lab = lab.select(PATIENT, F.col("lab.result_value").alias("lab"),
                      day(F.col("lab.obr_obs_datetime")).alias("lab_day"))
-    note = latest_observations(notes(src), controls(src), {"note": (3680,)}, since, p.end, keep=number)
 
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
@@ -203,10 +199,9 @@ def diabetic_a1c(src: Source, as_of: date) -> DataFrame:
     people = views.patients(src, as_of, unique=False)
     adults = ids_of(people.where("age >= 18"), PATIENT)
     v = cohort(v.join(one_row(people), PATIENT), PATIENT, include=[diabetic, adults])
-    v = v.join(note, PATIENT, "left").join(lab, PATIENT, "left")
+    v = look_up(src, v, p, note=in_window(3680, start=since, keep=number)).join(lab, PATIENT, "left")
     a, ad, b, bd = (F.col(c) for c in ("note", "note_day", "lab", "lab_day"))
     v = v.withColumns({"result": newer_of(ad, a, bd, b), "result_day": newer_of(ad, ad, bd, bd)})
-    v = with_consents(src, v, p.end)
     return report(v, {
         "Provider": or_blank("provider_name"), "Clinic": or_blank("short_name"), "Patient ID": "patientid",
         "DOB": us_date("birthdate"), "Age": "age", "Last DOS": us_date("note_datetime"),
@@ -220,21 +215,14 @@ def tobacco(src: Source, as_of: date) -> DataFrame:
     """Adults with a tobacco field in two years, seen in the month: use and cessation."""
     p = Period.previous_month(as_of)
     since = p.lookback(months=6)
-    cfg = src.config
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end, "tobacco"), "note_datetime")
     v = latest_visit(seen, views.providers(src, include_inactive=True), views.departments(src))
-    v = cohort(v.join(views.patients(src, as_of).where("age >= 18"), PATIENT), PATIENT, include=[
-        with_fields(src, (14375, 14451, 14452, 14450, 14449), p.lookback(years=2), p.end)])
-
-    # One pass over the history answers the status fields, the two cessation fields (whose
-    # value must also lie in the last six months) and the consents.
-    fields = {"uses": (14449,), "not_user": (14450,), "cessation1": (14451,), "cessation2": (14375,),
-              "telehealth_consent": (cfg.telehealth_consent_field,),
-              "telephone_consent": (cfg.telephone_consent_field,)}
-    daily = daily_observations(notes(src), controls(src), fields, end=p.end)
-    daily = daily.withColumns({f"{c}_day": F.when(F.col(c).isNotNull(), F.col("day"))
-                               for c in ("cessation1", "cessation2")})
-    v = observations_asof(v, daily)
+    v = look_up(
+        src, v.join(views.patients(src, as_of).where("age >= 18"), PATIENT), p,
+        asked=in_window(14375, 14451, 14452, 14450, 14449, start=p.lookback(years=2)),
+        uses=up_to_day(14449), not_user=up_to_day(14450), cessation1=up_to_day(14451, since=since),
+        cessation2=up_to_day(14375, since=since))
+    v = v.where(F.col("asked_day").isNotNull())
 
     billed = views.procedures(src).where(F.col("procedure_number").isin(848, 849)).select("procedure_id")
     charges = src.table("charge_history").where(within("post_fromdate", since, p.end))
@@ -242,11 +230,8 @@ def tobacco(src: Source, as_of: date) -> DataFrame:
         F.col("id").alias(PATIENT), F.lit(True).alias("billed"))
     v = v.join(billed, PATIENT, "left")
 
-    def in_window(c: str):
-        return (F.col(c) == "1") & (F.col(f"{c}_day") >= F.lit(since))
-
-    received = F.col("billed").isNotNull() | F.coalesce(in_window("cessation1"), F.lit(False)) \
-        | F.coalesce(in_window("cessation2"), F.lit(False))
+    received = F.col("billed").isNotNull() | F.coalesce(F.col("cessation1") == "1", F.lit(False)) \
+        | F.coalesce(F.col("cessation2") == "1", F.lit(False))
     not_user, uses = F.col("not_user"), F.col("uses")
     v = v.withColumn("received", received)
     return report(v, {

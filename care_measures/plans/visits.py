@@ -12,12 +12,11 @@ from ..functions.expressions import (bp_final_controlled, bp_first_controlled, f
 from ..functions.periods import Period
 from ..functions.valuesets import ValueSet
 from ..operators.filters import cohort
-from ..operators.observations import PATIENT, daily_observations, latest_observations, observations_exact
+from ..operators.observations import PATIENT, in_window, on_day
 from ..operators.report import report
 from ..sources import views
 from ..sources.tables import Source
-from .common import (add_latest, controls, diagnosed, latest_visit, notes, one_row, pregnant, with_consents,
-                     with_fields)
+from .common import controls, diagnosed, latest_visit, look_up, notes, one_row, pregnant
 
 
 def adult_weight(src: Source, as_of: date) -> DataFrame:
@@ -29,14 +28,13 @@ def adult_weight(src: Source, as_of: date) -> DataFrame:
     p = Period.previous_month(as_of)
     v = latest_visit(views.medical_notes(src, p.start, p.end), views.without(src, views.medical_providers(src)))
     v = cohort(v.join(views.patients(src, as_of).where("age >= 18"), PATIENT), PATIENT, exclude=[pregnant(src, p)])
-    daily = daily_observations(notes(src), controls(src), {"bmi": (1719,), "plan": (14466,)}, p.start, p.end)
-    v = observations_exact(v, add_latest(daily, "bmi", "month_bmi"))
+    v = look_up(src, v, p, bmi=on_day(1719), plan=on_day(14466), month_bmi=in_window(1719, start=p.start))
     in_range = F.col("month_bmi").try_cast("decimal(10,2)").between(18.5, 24.9)
     v = v.withColumns({"recorded": flag(F.col("bmi").isNotNull()),
                        "out": F.when(F.col("bmi").isNull(), 1).when(in_range, 0).otherwise(1),
                        "planned": F.coalesce(try_int("plan"), F.lit(0))})
     lacking = (F.col("recorded") == 0) | ((F.col("out") == 1) & (F.col("planned") == 0))
-    return report(with_consents(src, v, p.end), {
+    return report(v, {
         "Provider": "provider_name", "Patient ID": "patientid", "Age": "age", "Last BMI": or_blank("bmi"),
         "BMI Recorded": "recorded", "Out Of Range": "out", "Wt Mgmt F/u Plan": "planned",
         "Documented": yes_no(~lacking), "Patient Consents to Telehealth Visit": "telehealth_consent",
@@ -48,20 +46,19 @@ def blood_pressure(src: Source, as_of: date) -> DataFrame:
     p = Period.previous_month(as_of)
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.providers(src), views.departments(src))
-    v = cohort(v.join(views.patients(src, as_of).where(F.col("age").between(18, 85)), PATIENT), PATIENT,
-               include=[with_fields(src, (12848, 12849, 13259, 13260), p.start, p.end)])
+    v = v.join(views.patients(src, as_of).where(F.col("age").between(18, 85)), PATIENT)
     company = F.col("company_id") == src.config.company_id
     ill = diagnosed(src, views.company_diagnoses(src).where(company),
                     ValueSet(patterns=vs.DIABETES_OR_CKD_PATTERNS), p.lookback(months=4), p.end, company)
     v = v.join(ill.select(F.col("id").alias(PATIENT), F.lit(True).alias("ill")), PATIENT, "left")
-    daily = daily_observations(notes(src), controls(src), {
-        "s1": (12848,), "d1": (12849,), "s2": (13259,), "d2": (13260,)}, p.start, p.end,
-        keep=lambda value: try_int(value).isNotNull())
-    v = observations_exact(v, daily)
+    number = lambda value: try_int(value).isNotNull()
+    v = look_up(src, v, p, read=in_window(12848, 12849, 13259, 13260, start=p.start), s1=on_day(12848, keep=number),
+                d1=on_day(12849, keep=number), s2=on_day(13259, keep=number), d2=on_day(13260, keep=number))
+    v = v.where(F.col("read_day").isNotNull())
     well = F.col("ill").isNull()
     v = v.withColumn("first_ok", bp_first_controlled(F.col("age"), well, F.col("s1"), F.col("d1")))
     final = bp_final_controlled(F.col("age"), well, F.col("first_ok"), F.col("s2"), F.col("d2"))
-    return report(with_consents(src, v, p.end), {
+    return report(v, {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid", "Age": "age",
         "No DM or CKD": flag(well).cast("string"), "Last DOS": us_date("note_datetime"),
         "DOB": us_date("birthdate"), "1st Systolic BP": or_blank("s1"), "1st Diastolic BP": or_blank("d1"),
@@ -84,11 +81,11 @@ def patient_vitals(src: Source, as_of: date) -> DataFrame:
     # The union is distinct, but only one row per patient is kept, so duplicates need no pass of their own.
     v = latest_visit(first.unionByName(medical), phys, views.departments(src), tiebreak=("doctorid", "dept_id"))
     v = v.join(views.patients(src, as_of).where("age >= 3"), PATIENT)
-    vitals = {"Height": (1716,), "Weight": (1717,), "BP": (12848,), "Temperature": (1347,), "Pulse": (11253,),
-              "Respiratory": (11254,)}
-    v = observations_exact(v, daily_observations(notes(src), controls(src), vitals, p.start, p.end))
+    vitals = {"Height": on_day(1716), "Weight": on_day(1717), "BP": on_day(12848), "Temperature": on_day(1347),
+              "Pulse": on_day(11253), "Respiratory": on_day(11254)}
+    v = look_up(src, v, p, **vitals)
     met = F.greatest(*[F.col(n).isNull() for n in vitals])
-    return report(with_consents(src, v, p.end), {
+    return report(v, {
         "Clinic": "short_name", "Provider": "provider_name", "Patient ID": "patientid", "Age": "age",
         "DOS": us_date("note_datetime"), "MET": yes_no(~met), **{n: flag(F.col(n).isNotNull()) for n in vitals},
         "Patient Consents to Telehealth Visit": "telehealth_consent",
@@ -103,14 +100,13 @@ def pediatric_weight(src: Source, as_of: date) -> DataFrame:
     v = latest_visit(seen.join(recorded, "patient_note_id", "left_semi"), views.providers(src))
     v = cohort(v.join(views.patients(src, as_of).where(F.col("age").between(3, 17)), PATIENT), PATIENT,
                exclude=[pregnant(src, p)])
-    obs = latest_observations(notes(src), controls(src), {
-        "nutrition": (14359,), "activity": (14358,), "vitals": (14646,)}, p.start, p.end)
-    v = v.join(obs, PATIENT, "left").withColumns({
+    v = look_up(src, v, p, nutrition=in_window(14359, start=p.start), activity=in_window(14358, start=p.start),
+                vitals=in_window(14646, start=p.start)).withColumns({
         "nutrition": F.coalesce(try_int("nutrition"), F.lit(0)),
         "activity": F.coalesce(try_int("activity"), F.lit(0))})
     met = ((F.col("nutrition") == 1) & (F.col("activity") == 1) & F.col("vitals").isNotNull()
            & (F.col("vitals_day") == F.col("day")))
-    return report(with_consents(src, v, p.end), {
+    return report(v, {
         "Provider": "provider_name", "Patient ID": "patientid", "Age": "age", "DOS": us_date("note_datetime"),
         "Nutrition Counseling Doc'd": "nutrition", "Activity Counseling Doc'd": "activity", "Met": yes_no(met),
         "Patient Consents to telehealth Visits": "telehealth_consent",

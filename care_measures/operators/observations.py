@@ -53,7 +53,7 @@ def in_window(*fields: int, start: date | None = None, end: date | None = None,
 
 
 def observe(visits: DataFrame, notes: DataFrame, controls: DataFrame, lookups: Mapping[str, Lookup],
-            end: date, start: date | None = None, visit_day: str = "day") -> DataFrame:
+            end: date | None = None, start: date | None = None, visit_day: str = "day") -> DataFrame:
     """``visits`` with a value and a day (``name``, ``name_day``) for each lookup.
 
     ``visits`` holds one row per patient. Notes from ``start`` to ``end`` are first cut down

@@ -54,6 +54,9 @@ def look_up(src: Source, visits: DataFrame, p: Period, start: date | None = None
     """Add note-field lookups and the two consents in force on the visit's day.
 
     Consents reach back through the whole history; measures without them pass ``start``.
+    Apply it to the ranked visits joined with patients only, and cohort conditions to its
+    result: the visits are read once to find the notes and once to be joined back, and the
+    ranked visits are one shuffle both readings share.
     """
     if start is None:
         lookups["telehealth_consent"] = up_to_day(src.config.telehealth_consent_field)

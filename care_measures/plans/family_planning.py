@@ -23,6 +23,31 @@ from .common import DX_SLOTS, controls, diagnosed, notes
 CLINICIANS = ("MD", "PA", "MS PA-C", "NP", "DO")
 
 
+def _care_flags(src: Source, start: date, end: date, reproductive_health: ValueSet) -> DataFrame:
+    """Per patient: any charge for a termination, for contraception, for reproductive health.
+
+    One pass over the charges for all three. A charge needs a known procedure and a known
+    diagnosis, one of the two listed; terminations count active codes only.
+    """
+    lists = {"planned": (vs.CONTRACEPTION_PROCEDURES, ValueSet(exact=vs.CONTRACEPTION_DIAGNOSES)),
+             "cared": (vs.REPRODUCTIVE_HEALTH_PROCEDURES, reproductive_health),
+             "ended": (vs.TERMINATION_PROCEDURES, ValueSet(exact=vs.TERMINATION_DIAGNOSES))}
+    px, dx = views.company_procedures(src), views.company_diagnoses(src)
+    for name, (procedures, diagnoses) in lists.items():
+        px = ValueSet(exact=procedures).mark(px, "procedure_code", f"_p_{name}")
+        dx = diagnoses.mark(dx, "icd9", f"_d_{name}")
+    active = ci("active_yn") == "y"
+    px = px.select("procedure_id", active.alias("_p_active"), *[f"_p_{n}" for n in lists])
+    dx = dx.select("diagnosis_id", (active & (F.col("company_id") == src.config.company_id)).alias("_d_active"),
+                   *[f"_d_{n}" for n in lists])
+    ch = src.table("charge_history").where(within("post_fromdate", start, end)).select(
+        "patient_id", "procedure_id", *DX_SLOTS)
+    ch = slot_join(ch.join(px, "procedure_id"), DX_SLOTS, dx, "diagnosis_id")
+    hit = {n: F.col(f"_p_{n}") | F.col(f"_d_{n}") for n in lists}
+    hit["ended"] = hit["ended"] & F.col("_p_active") & F.col("_d_active")
+    return ch.groupBy("patient_id").agg(*[F.bool_or(F.coalesce(c, F.lit(False))).alias(n) for n, c in hit.items()])
+
+
 def _charged(src: Source, start: date, end: date, procedures: DataFrame, dx: DataFrame, proc_codes: ValueSet,
              dx_codes: ValueSet) -> DataFrame:
     """Ids of patients with a charge whose procedure or any diagnosis is in its set.
@@ -90,18 +115,15 @@ def family_planning(src: Source, as_of: date, reproductive_health: ValueSet | No
     if reproductive_health is None:
         reproductive_health = src.config.value_sets.get("reproductive_health") or ValueSet(
             table=src.table("value_set_code").where("set_name = 'reproductive_health'"))
-    every_dx, every_proc = views.company_diagnoses(src), views.company_procedures(src)
-    ended = _charged(src, since, p.end, views.procedures(src), views.diagnoses(src),
-                     ValueSet(exact=vs.TERMINATION_PROCEDURES), ValueSet(exact=vs.TERMINATION_DIAGNOSES))
-    planned = _charged(src, since, p.end, every_proc, every_dx, ValueSet(exact=vs.CONTRACEPTION_PROCEDURES),
-                       ValueSet(exact=vs.CONTRACEPTION_DIAGNOSES))
-    cared = _charged(src, since, p.end, every_proc, every_dx, ValueSet(exact=vs.REPRODUCTIVE_HEALTH_PROCEDURES),
-                     reproductive_health)
+    care = _care_flags(src, since, p.end, reproductive_health)
 
     sex, age = ci("sex"), F.col("age")
     people = views.registered_patients(src, as_of).where(
         ((sex == "m") & age.between(12, 60)) | ((sex == "f") & age.between(12, 55)))
-    people = cohort(people, "patient_id", include=[planned, cared], exclude=[ended])
+    people = people.join(care.select(F.col("patient_id").alias("_id"), "planned", "cared", "ended"),
+                         F.col("patient_id") == F.col("_id")).where("planned AND cared AND NOT ended").drop("_id")
+    # As written, a termination charge without a patient would leave nothing.
+    people = people.where(~care.where("patient_id IS NULL AND ended").exists())
     k = _kept(src, p).select(F.col(PATIENT), "dos", "short_name", "degree").distinct()
     v = k.join(people.withColumnRenamed("patient_id", PATIENT), PATIENT)
     for key, name in (("employment_status_id", "employment"), ("race_id", "race"), ("ethnicity_id", "ethnicity")):

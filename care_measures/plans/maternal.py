@@ -10,12 +10,12 @@ from ..functions.expressions import (PLACEHOLDERS, first_present, flag, like, or
                                      us_date, within)
 from ..functions.periods import Period
 from ..operators.filters import cohort
-from ..operators.observations import PATIENT, observe, on_day
+from ..operators.observations import PATIENT, in_window, observe, on_day
 from ..operators.ranking import earliest_per_key, latest_per_key
 from ..operators.report import report
 from ..sources import views
 from ..sources.tables import Source
-from .common import controls, latest_visit, look_up, notes, one_row, with_fields
+from .common import controls, latest_visit, notes, one_row, with_fields
 
 
 def _initial_ob_notes(src: Source, p: Period) -> DataFrame:
@@ -51,17 +51,17 @@ def perinatal_health(src: Source, as_of: date) -> DataFrame:
     p = Period.previous_month(as_of)
     value = F.col("data_value")
     lost = with_fields(src, (15476,), p.start, p.end, F.trim(value).isin(list(LOST_PREGNANCY)))
-    dated = controls(src).where((F.col("template_field_id") == 15085) & try_date(value).between(p.start, p.end))
-    delivered = notes(src).select("patient_note_id", PATIENT).join(
-        dated.select("patient_note_id"), "patient_note_id").select(F.col(PATIENT).alias("id")).distinct()
 
     weighed = controls(src).where(F.col("template_field_id").isin(15127, 15141, 15142)
                                   & ~F.trim(value).isin(list(PLACEHOLDERS))).select("patient_note_id")
     seen = views.notes_between(src, p.start, p.end).join(weighed, "patient_note_id", "left_semi")
     v = latest_visit(seen, views.providers(src), views.departments(src))
-    v = cohort(v, PATIENT, include=[delivered], exclude=[lost])
+    # The delivery date may be recorded in a note of any day, so the notes are not limited by date.
+    v = observe(v, notes(src), controls(src), {
+        "due": in_window(15085, keep=lambda d: try_date(d).between(p.start, p.end)), "delivery": on_day(15085),
+        "w1": on_day(15127), "w2": on_day(15141), "w3": on_day(15142)})
+    v = cohort(v.where(F.col("due_day").isNotNull()), PATIENT, exclude=[lost])
     v = v.join(one_row(views.patients(src, as_of, unique=False)), PATIENT)
-    v = look_up(src, v, p, p.start, delivery=on_day(15085), w1=on_day(15127), w2=on_day(15141), w3=on_day(15142))
     weights = ("w1", "w2", "w3")
 
     def weight_class(prefix: str):

@@ -59,9 +59,9 @@ def cervical_cancer(src: Source, as_of: date) -> DataFrame:
     others = slot_join(ch, DX_SLOTS, dx.where(~hyst).select("diagnosis_id"), "diagnosis_id")
     cut = ([ids_of(slot_join(ch, DX_SLOTS, dx.where(hyst).select("diagnosis_id"), "diagnosis_id"),
                    "patient_id")] if src.config.exclude_hysterectomy else [])
-    v = cohort(v, PATIENT, include=[ids_of(others, "patient_id")], exclude=cut)
     women = views.patients(src, as_of).where(F.col("age").between(21, 64) & (ci("sex") == "f"))
-    v = look_up(src, v.join(women, PATIENT).join(pap, PATIENT, "left"), p)
+    v = cohort(look_up(src, v.join(women, PATIENT), p), PATIENT, include=[ids_of(others, "patient_id")], exclude=cut)
+    v = v.join(pap, PATIENT, "left")
     return report(v, {
         "Provider": "provider_name", "Clinic": or_blank("short_name"), "Patient ID": "patientid",
         "DOB": us_date("birthdate"), "Age": "age", "DOS": us_date("note_datetime"),
@@ -97,8 +97,7 @@ def chlamydia(src: Source, as_of: date) -> DataFrame:
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.medical_providers(src), views.departments(src))
     women = views.patients(src, as_of).where(F.col("age").between(13, 24) & (ci("sex") == "f"))
-    v = cohort(v.join(women, PATIENT), PATIENT, include=[active])
-    v = look_up(src, v.join(tests, PATIENT, "left"), p)
+    v = cohort(look_up(src, v.join(women, PATIENT), p), PATIENT, include=[active]).join(tests, PATIENT, "left")
     return report(v, {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid",
         "Date Of Birth": us_date("birthdate"), "Age": "age", "Last Visit Date": us_date("note_datetime"),
@@ -116,14 +115,14 @@ def depression(src: Source, as_of: date) -> DataFrame:
 
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
-    v = cohort(v.join(views.patients(src, as_of).where("age >= 12"), PATIENT), PATIENT,
-               exclude=[diagnosed(src, views.diagnoses(src), ValueSet(ranges=vs.DEPRESSION_RANGE), since, p.end)])
     v = look_up(
-        src, v, p, recent=in_window(3696, 15095, 15096, 15097, 15423, start=p.start),
+        src, v.join(views.patients(src, as_of).where("age >= 12"), PATIENT), p, recent=in_window(3696, 15095, 15096, 15097, 15423, start=p.start),
         phq9=in_window(15095, 15096, 15097, 3696, 15958, start=since, keep=number, prefer=try_int),
         phq2=in_window(15423, 15957, 15815, 15816, start=since, keep=filled),
         screen1=in_window(15593), screen2=in_window(14765))
-    v = v.where(F.col("recent_day").isNotNull()).withColumn("phq2", leading_score("phq2"))
+    v = cohort(v.where(F.col("recent_day").isNotNull()), PATIENT, exclude=[
+        diagnosed(src, views.diagnoses(src), ValueSet(ranges=vs.DEPRESSION_RANGE), since, p.end)])
+    v = v.withColumn("phq2", leading_score("phq2"))
     # The follow-up plan counts only from medical notes.
     plan = latest_observations(views.medical_notes(src, since, p.end), controls(src), {"plan": (15143,)},
                                since, p.end, keep=number)
@@ -168,8 +167,8 @@ def colorectal_cancer(src: Source, as_of: date) -> DataFrame:
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
     people = one_row(views.patients(src, as_of, unique=False).where(F.col("age").between(45, 75)))
-    v = v.join(people, PATIENT).join(lab, PATIENT, "left").join(scan, PATIENT, "left")
-    return report(look_up(src, v, p), {
+    v = look_up(src, v.join(people, PATIENT), p).join(lab, PATIENT, "left").join(scan, PATIENT, "left")
+    return report(v, {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid", "Gender": "sex",
         "DOB": us_date("birthdate"), "Age": "age", "DOS": us_date("note_datetime"),
         "Last FIT Date": or_blank(us_date("fit")), "In Office FOBT": or_blank(us_date("office")),
@@ -198,8 +197,8 @@ def diabetic_a1c(src: Source, as_of: date) -> DataFrame:
     diabetic = diagnosed(src, views.company_diagnoses(src), ValueSet(patterns=vs.DIABETES_PATTERNS), since, p.end)
     people = views.patients(src, as_of, unique=False)
     adults = ids_of(people.where("age >= 18"), PATIENT)
-    v = cohort(v.join(one_row(people), PATIENT), PATIENT, include=[diabetic, adults])
-    v = look_up(src, v, p, note=in_window(3680, start=since, keep=number)).join(lab, PATIENT, "left")
+    v = look_up(src, v.join(one_row(people), PATIENT), p, note=in_window(3680, start=since, keep=number))
+    v = cohort(v, PATIENT, include=[diabetic, adults]).join(lab, PATIENT, "left")
     a, ad, b, bd = (F.col(c) for c in ("note", "note_day", "lab", "lab_day"))
     v = v.withColumns({"result": newer_of(ad, a, bd, b), "result_day": newer_of(ad, ad, bd, bd)})
     return report(v, {

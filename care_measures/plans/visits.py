@@ -27,8 +27,9 @@ def adult_weight(src: Source, as_of: date) -> DataFrame:
     """
     p = Period.previous_month(as_of)
     v = latest_visit(views.medical_notes(src, p.start, p.end), views.without(src, views.medical_providers(src)))
-    v = cohort(v.join(views.patients(src, as_of).where("age >= 18"), PATIENT), PATIENT, exclude=[pregnant(src, p)])
-    v = look_up(src, v, p, bmi=on_day(1719), plan=on_day(14466), month_bmi=in_window(1719, start=p.start))
+    v = look_up(src, v.join(views.patients(src, as_of).where("age >= 18"), PATIENT), p, bmi=on_day(1719),
+                plan=on_day(14466), month_bmi=in_window(1719, start=p.start))
+    v = cohort(v, PATIENT, exclude=[pregnant(src, p)])
     in_range = F.col("month_bmi").try_cast("decimal(10,2)").between(18.5, 24.9)
     v = v.withColumns({"recorded": flag(F.col("bmi").isNotNull()),
                        "out": F.when(F.col("bmi").isNull(), 1).when(in_range, 0).otherwise(1),
@@ -47,14 +48,14 @@ def blood_pressure(src: Source, as_of: date) -> DataFrame:
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.providers(src), views.departments(src))
     v = v.join(views.patients(src, as_of).where(F.col("age").between(18, 85)), PATIENT)
-    company = F.col("company_id") == src.config.company_id
-    ill = diagnosed(src, views.company_diagnoses(src).where(company),
-                    ValueSet(patterns=vs.DIABETES_OR_CKD_PATTERNS), p.lookback(months=4), p.end, company)
-    v = v.join(ill.select(F.col("id").alias(PATIENT), F.lit(True).alias("ill")), PATIENT, "left")
     number = lambda value: try_int(value).isNotNull()
     v = look_up(src, v, p, read=in_window(12848, 12849, 13259, 13260, start=p.start), s1=on_day(12848, keep=number),
                 d1=on_day(12849, keep=number), s2=on_day(13259, keep=number), d2=on_day(13260, keep=number))
     v = v.where(F.col("read_day").isNotNull())
+    company = F.col("company_id") == src.config.company_id
+    ill = diagnosed(src, views.company_diagnoses(src).where(company),
+                    ValueSet(patterns=vs.DIABETES_OR_CKD_PATTERNS), p.lookback(months=4), p.end, company)
+    v = v.join(ill.select(F.col("id").alias(PATIENT), F.lit(True).alias("ill")), PATIENT, "left")
     well = F.col("ill").isNull()
     v = v.withColumn("first_ok", bp_first_controlled(F.col("age"), well, F.col("s1"), F.col("d1")))
     final = bp_final_controlled(F.col("age"), well, F.col("first_ok"), F.col("s2"), F.col("d2"))
@@ -98,10 +99,10 @@ def pediatric_weight(src: Source, as_of: date) -> DataFrame:
     recorded = controls(src).where(F.col("template_field_id").isin(14358, 14646, 14359)).select("patient_note_id")
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen.join(recorded, "patient_note_id", "left_semi"), views.providers(src))
-    v = cohort(v.join(views.patients(src, as_of).where(F.col("age").between(3, 17)), PATIENT), PATIENT,
-               exclude=[pregnant(src, p)])
-    v = look_up(src, v, p, nutrition=in_window(14359, start=p.start), activity=in_window(14358, start=p.start),
-                vitals=in_window(14646, start=p.start)).withColumns({
+    v = look_up(src, v.join(views.patients(src, as_of).where(F.col("age").between(3, 17)), PATIENT), p,
+                nutrition=in_window(14359, start=p.start), activity=in_window(14358, start=p.start),
+                vitals=in_window(14646, start=p.start))
+    v = cohort(v, PATIENT, exclude=[pregnant(src, p)]).withColumns({
         "nutrition": F.coalesce(try_int("nutrition"), F.lit(0)),
         "activity": F.coalesce(try_int("activity"), F.lit(0))})
     met = ((F.col("nutrition") == 1) & (F.col("activity") == 1) & F.col("vitals").isNotNull()

@@ -54,26 +54,27 @@ def bracket_lookup(patients: DataFrame, matrix: DataFrame) -> DataFrame:
     company_id, family_size, income_from, income_to, poverty_status. Sizes above a matrix's
     largest use the largest; incomes above the top bracket of a size use the top bracket;
     missing size counts as 1 and missing income as 0. Patients without a bracket drop out;
-    a company with several matrices gives a row for each. The maxima are aggregated first,
-    so only the fee matrix is ever matched by company.
+    a company with several matrices gives a row for each.
+
+    The rows of a matrix's largest size are repeated up to the largest size of any matrix,
+    and patients are clamped to that: size is then an equality next to the company, and the
+    only patient-sized join is one hash join against the small matrix.
     """
-    m = matrix.select("fee_matrix_id", F.col("company_id").alias("_company"),
-                      F.col("family_size").alias("_size"), "income_from", "income_to", "poverty_status")
-    top_size = matrix.groupBy("fee_matrix_id").agg(F.max("family_size").alias("_max_size"))
-    top_income = matrix.groupBy(F.col("fee_matrix_id").alias("_m"), F.col("family_size").alias("_s")
-                                ).agg(F.max("income_to").alias("_max_income"))
-    owners = (matrix.select("fee_matrix_id", F.col("company_id").alias("_owner")).distinct()
-              .join(top_size, "fee_matrix_id"))
-    p = patients.withColumns({"_family": F.coalesce("family_size", F.lit(1)),
+    largest = matrix.select(F.max("family_size")).scalar()
+    per_matrix = matrix.groupBy(F.col("fee_matrix_id").alias("_m")).agg(F.max("family_size").alias("_max_size"))
+    per_size = matrix.groupBy(F.col("fee_matrix_id").alias("_i"), F.col("family_size").alias("_s")).agg(
+        F.max("income_to").alias("_max_income"))
+    sizes = F.when(F.col("family_size") == F.col("_max_size"), F.sequence("family_size", largest)).otherwise(
+        F.array("family_size"))
+    rows = (matrix.join(per_matrix, F.col("fee_matrix_id") == F.col("_m"))
+            .join(per_size, (F.col("fee_matrix_id") == F.col("_i")) & (F.col("family_size") == F.col("_s")))
+            .select(F.col("company_id").alias("_company"), F.explode(sizes).alias("_size"), "income_from",
+                    "income_to", "_max_income", "poverty_status"))
+    p = patients.withColumns({"_family": F.least(F.coalesce("family_size", F.lit(1)), largest),
                               "_income": F.coalesce("income", F.lit(0))})
-    sized = p.join(owners, p["company_id"] == owners["_owner"]).withColumn(
-        "_fit", F.least("_max_size", "_family")).drop("_owner").withColumnRenamed("fee_matrix_id", "_matrix")
-    rows = m.join(top_income, (m["fee_matrix_id"] == top_income["_m"])
-                  & (m["_size"] == top_income["_s"])).drop("_m", "_s")
-    return sized.join(
-        rows, (F.col("_matrix") == F.col("fee_matrix_id")) & (F.col("company_id") == F.col("_company"))
-        & (F.col("_fit") == F.col("_size")) & (F.col("income_from") <= F.col("_income"))
-        & (F.col("income_to") >= F.least("_max_income", "_income"))
+    return p.join(
+        rows, (F.col("company_id") == F.col("_company")) & (F.col("_family") == F.col("_size"))
+        & (F.col("income_from") <= F.col("_income")) & (F.col("income_to") >= F.least("_max_income", "_income"))
     ).select(*[p[c] for c in patients.columns], "poverty_status")
 
 

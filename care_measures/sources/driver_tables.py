@@ -112,7 +112,8 @@ TABLES: dict[str, str] = {
           CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE CAST(o_orderkey % 5 - 1 AS INT) END AS signedby
         FROM {{orders}}
         UNION ALL
-        SELECT o_orderkey, o_custkey, CAST((o_orderkey * 7 + o_custkey) % 25 AS INT), 0, 0,
+        SELECT o_orderkey, o_custkey, CAST((o_orderkey * 7 + o_custkey) % 25 AS INT),
+          CAST((o_orderkey + o_custkey) % 25 AS INT), CAST((o_orderkey + o_custkey) % 4 AS INT),
           {_day('(o_orderkey * 37) % 529')} + {_minutes('480 + (o_orderkey * 7) % 720')},
           {_day('(o_orderkey * 37) % 529 - 9')}, NULL FROM {{orders}} WHERE o_orderstatus = 'P'""",
     "patient_note_control": f"""

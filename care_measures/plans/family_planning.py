@@ -144,7 +144,7 @@ def family_planning(src: Source, as_of: date, reproductive_health: ValueSet | No
         "Provider Type": or_blank("degree"), "Principle Health Coverage": or_blank("coverage"), "Zip Code": "zip",
         "Limited English Proficiency": or_blank("language"), "Homeless": or_blank("employment"),
         "Birth Control Method": or_blank("method"), "Poverty Level": "poverty_status"}
-    ).distinct().orderBy("Patient ID")
+    ).distinct().orderBy("Patient ID", "Visit Date", "Site")
 
 
 def missed_opportunity(src: Source, as_of: date) -> DataFrame:

@@ -94,4 +94,4 @@ def prenatal_trimester(src: Source, as_of: date) -> DataFrame:
     return report(v, {
         "Provider": "fullname", "Patient ID": "patientid", "DOS": us_date("note_datetime"),
         "Description": F.coalesce(F.right("here", F.lit(7)), F.right("elsewhere", F.lit(6)), F.lit("")),
-        "Begin With First Trimester": flag(F.col("here").isNotNull())}, ["Provider", "Patient ID"])
+        "Begin With First Trimester": flag(F.col("here").isNotNull())}, ["Provider", "Patient ID", "DOS"])

@@ -63,7 +63,7 @@ def appointment_status(src: Source, as_of: date) -> DataFrame:
         "No Show 1st Comment": F.when(no_show, or_blank("first_attempt")).otherwise(""),
         "No Show 2nd Comment": F.when(no_show, or_blank("second_attempt")).otherwise(""),
         "Unknown": flag(~is_any("status", ("no show", "cancelled", "appt kept", "booked"))),
-        "short": "short"}, ["Appt Status", "Patient ID"])
+        "short": "short"}, ["Appt Status", "Patient ID", "Appointment ID"])
 
 
 def no_show_rescheduled(src: Source, as_of: date) -> DataFrame:
@@ -89,7 +89,7 @@ def no_show_rescheduled(src: Source, as_of: date) -> DataFrame:
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid", "DOB": us_date("birthdate"),
         "No Show Date": us_date("booking_date"), "Visit Type": "short_desc",
         "Rescheduled Date": or_blank(us_date("next_booking_date")), "Rescheduled Type": or_blank("next_short_desc"),
-        "Rescheduled Provider": or_blank("next_provider_name")}, ["Provider", "Clinic", "Patient ID"])
+        "Rescheduled Provider": or_blank("next_provider_name")}, ["Provider", "Clinic", "Patient ID", "No Show Date", "Visit Type"])
 
 
 MILESTONES = {"arrived": "Arrived", "registered": "Registered", "admitted": "Admitted",
@@ -127,4 +127,4 @@ def cycle_time(src: Source, as_of: date) -> DataFrame:
         "Total Cycle Time": minute_diff("pat_arrived", "pat_discharged"),
         "Total Telehealth Cycle Time": minute_diff("pat_registered", "pat_discharged"), "Appt Id": "appointmentid",
         "Type": "Type", "Telehealth": flag(like_any(d, ("%telehealth%", "phone%")))}
-    ).distinct().orderBy("Type", "Clinic", "Provider", "Patient ID")
+    ).distinct().orderBy("Type", "Clinic", "Provider", "Patient ID", "Appt Id")

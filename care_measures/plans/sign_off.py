@@ -41,7 +41,7 @@ def notes_signed_off(src: Source, as_of: date) -> DataFrame:
         "Signed": F.when(F.col("signedby") <= 0, 0).otherwise(1), "Clinic": "short_name",
         "Patient ID": "patientid", "Note ID": "patient_note_id", "Start Date": us_date("note_datetime"),
         "SignOff Date": F.when(blank, "").otherwise(us_date("update_datetime")),
-        "template_name": "template_name"}, ["Provider", "Patient ID"])
+        "template_name": "template_name"}, ["Provider", "Patient ID", "Note ID"])
 
 
 def superbill_signed_off(src: Source, as_of: date) -> DataFrame:
@@ -72,7 +72,7 @@ def superbill_signed_off(src: Source, as_of: date) -> DataFrame:
     return report(d, {
         "signed": "signed", "Clinic": "short_name", "Provider": "provider_name", "Patient ID": "patientid",
         "Start Date": us_date("created_date"), "Signedoff Date": us_date("update_datetime"),
-        "description": "description", "METGOAL": yes_no(gap <= 1)}, ["Clinic", "Provider", "Patient ID"])
+        "description": "description", "METGOAL": yes_no(gap <= 1)}, ["Clinic", "Provider", "Patient ID", "Start Date", "description"])
 
 
 # Document types that need a provider's signature.
@@ -105,7 +105,7 @@ def document_sign_off(src: Source, as_of: date, against: str = "doc_date") -> Da
         "Patient ID": "patientid", "Doc Date": us_date("doc_date"), "Document ID": "document_id",
         "Import Date": us_date("created_date"),
         "SignOff Date": F.when(signed, us_date("update_datetime")).otherwise(""),
-        "Signed By": or_blank("fullname"), "File Name": "file_name"}, ["Provider", "Patient ID"])
+        "Signed By": or_blank("fullname"), "File Name": "file_name"}, ["Provider", "Patient ID", "Document ID"])
 
 
 def hospital_tracking(src: Source, as_of: date, teams: tuple[int, ...] = (8961, 8962)) -> DataFrame:

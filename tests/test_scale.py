@@ -1,6 +1,7 @@
 """Hot keys and plans: one key holds a third of the rows and no operator may funnel it."""
 
 import re
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -77,3 +78,26 @@ def test_date_range_and_columns_reach_the_scan(spark, tmp_path):
     pushed = text[text.index("PushedFilters"):]
     assert "GreaterThanOrEqual(note_datetime,1998-06-01T00:00)" in pushed and "LessThan(note_date" in pushed
     assert "ReadSchema: struct<patientprofileid:bigint,note_datetime:timestamp_ntz>" in text
+
+
+def test_after_hours_any_drops_the_matching_notes(spark):
+    src = driver_tables.source(spark, SF, replace(driver_tables.CONFIG, after_hours="any"))
+    n = src.table("patient_note")
+    names = views.providers(src).select("doctorid", "provider_name")
+    late = n.join(names, "doctorid").where("""
+        (provider_name = 'Last1, First1' AND dayofweek(note_datetime) IN (3, 5) AND hour(note_datetime) > 17 AND minute(note_datetime) >= 30)
+        OR (provider_name = 'Last2, First2' AND dayofweek(note_datetime) BETWEEN 2 AND 6 AND hour(note_datetime) > 18)""")
+    assert late.count() > 0
+    assert views.in_hours(src, n, "note_datetime").count() == n.count() - late.count()
+    assert views.in_hours(driver_tables.source(spark, SF), n, "note_datetime").count() == n.count()
+
+
+def test_measures_read_stored_tables(spark, tmp_path):
+    """A measure on one Parquet folder per table equals the same measure on the projection."""
+    src = driver_tables.source(spark, SF)
+    for name in ("patientappt", "view_patient", "active_phys", "department", "visit_type", "appt_tracking"):
+        src.table(name).write.parquet(f"{tmp_path}/{name}")
+    stored = Source.parquet(spark, str(tmp_path), driver_tables.CONFIG)
+    fn = measures()["m10_cycle_time"]
+    want, got = (sorted(map(repr, fn(s, driver_tables.AS_OF).collect())) for s in (src, stored))
+    assert want == got and len(want) > 0

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from care_measures.llm import exact_dedup, packing, token_counts
+from care_measures.llm import decontamination, exact_dedup, language_id, packing, sharding, token_counts, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_decontamination": decontamination.op3_decontamination,
+    "op6_sharding": sharding.op6_sharding,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 SQL = {"op9_exact_dedup": exact_dedup.SQL}

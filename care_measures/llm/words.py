@@ -142,3 +142,13 @@ def missing(table: HashTable, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     at = np.flatnonzero(found < 0)
     _, first = np.unique(keys[at], return_index=True)
     return found, at[first]
+
+
+_held: dict = {}
+
+
+def held(kind: str, key: str, make):
+    """What make() gives, kept by this Python worker from task to task until it is asked for with another key."""
+    if _held.get(kind, (None,))[0] != key:
+        _held[kind] = key, make()
+    return _held[kind][1]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from care_measures.llm import decontamination, exact_dedup, language_id, packing, sharding, token_counts, toxicity
+from care_measures.llm import decontamination, exact_dedup, language_id, language_model, near_dedup, packing, sharding, token_counts, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_decontamination": decontamination.op3_decontamination,
+    "op4_language_model": language_model.op4_language_model,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_sharding": sharding.op6_sharding,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_packing": packing.op8_packing,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from care_measures.llm import decontamination, exact_dedup, language_id, language_model, near_dedup, packing, sharding, token_counts, toxicity
+from care_measures.llm import decontamination, exact_dedup, language_id, language_model, near_dedup, packing, sharding, suffix_dedup, token_counts, toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_decontamination": decontamination.op3_decontamination,
     "op4_language_model": language_model.op4_language_model,

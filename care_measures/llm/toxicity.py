@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -21,7 +22,8 @@ TERMS, STEMS = 1500, (4, 5, 6)
 LEAST, RATIO = 4, 30.0
 WINDOW = 8
 _GAPS = separators(bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
-_QUOTES = ('"', "'", "‘", "’", "“", "”", "„", "«", "»", "`")
+#: Typographic double and single quotation marks, which would else be parts of words.
+_DOUBLE, _SINGLE, _QUOTES = re.compile(rb"\xe2\x80[\x9c-\x9f]|\xc2[\xab\xbb]"), re.compile(rb"\xe2\x80[\x98-\x9b]"), b'"`'
 WHOLE, STEM, NEAR = 1, 2, 3
 FEATURES = 8
 MEMORY_WORDS = 1_500_000
@@ -82,11 +84,17 @@ class Lexicon:
 def _quoted(words: Words, text: int, at: int) -> bool:
     """Whether a quotation mark stands on both sides within the window, in the same text."""
     first, last = words.ranges[text], words.ranges[text + 1] - 1
-    left = words.bytes[words.starts[max(first, at - WINDOW)] - (at - WINDOW >= first): words.starts[at]].decode(errors="ignore")
-    right = words.bytes[words.ends[at]: words.ends[min(last, at + WINDOW)] + 3].decode(errors="ignore")
+    origin, end = words.text_starts[text], words.text_starts[text + 1] - 1
+    left = words.bytes[max(origin, words.starts[max(first, at - WINDOW)] - 1): words.starts[at]]
+    right = words.bytes[words.ends[at]: min(end, words.ends[min(last, at + WINDOW)] + 1)]
     return any(q in left for q in _QUOTES) and any(q in right for q in _QUOTES)
 
 
+def _plain(text: bytes) -> bytes:
+    """The text with ASCII quotation marks."""
+    return text if text.isascii() else _SINGLE.sub(b"'", _DOUBLE.sub(b'"', text))
+
+
 class Scorer:
     """Features of texts; remembers which words the lexicon finds."""
 
@@ -101,7 +109,7 @@ class Scorer:
         """For each text: finds of each kind outside quotations, quoted finds, summed and largest weight, finds close to another, finds a word."""
         if self.table.size > MEMORY_WORDS:
             self._forget()
-        words = Words(texts, LOWER, _GAPS)
+        words = Words([_plain(t) for t in texts], LOWER, _GAPS)
         number, new = missing(self.table, words.hashes)
         if len(new):
             looked = [self.lexicon.look_up(words.word(i).decode()) for i in new]
@@ -133,7 +141,7 @@ def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = (Counter(), Counter())
     for batch in batches:
         for toxic, text in zip(batch["toxic"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
-            words = set(text.translate(LOWER).decode().translate(_TO_BLANK).split())
+            words = set(_plain(text).translate(LOWER).decode().translate(_TO_BLANK).split())
             stems = {(w[:n], n) for w in words for n in STEMS if len(w) >= n and w[:n].isalpha()}
             seen[int(toxic > 0)].update(words)
             seen[int(toxic > 0)].update(stems)

@@ -4,22 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from care_measures.llm import common, exact_dedup, packing
+from care_measures.llm import common, decontamination, exact_dedup, language_id, near_dedup, packing
+
+
+def reject_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without text or letters, of which no language can be told, go."""
+    found = language_id.identify(docs, *language_id.learn(language_id.train_rows(docs)))
+    return common.keep_rows(docs, found.filter(F.col("lang_pred") != language_id.UNKNOWN))
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one document stays."""
+    """Of equal texts the document with the largest doc_id stays."""
     return common.keep_rows(docs, exact_dedup.exact_dedup(docs).filter("kept"))
 
 
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    return common.keep_rows(docs, near_dedup.near_dedup(docs).filter("kept"))
+
+
+def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with five words or more in a hundred inside benchmark passages go."""
+    found = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return common.keep_rows(docs, found.filter(~decontamination.contaminated()))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into token sequences."""
+    """What is left, packed into token sequences: one row per piece, with its ids."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).drop(common.ROW)
 
 
-STAGES = [("exact dedup", remove_copies), ("packing", pack)]
+STAGES = [
+    ("language identification", reject_unknown_languages), ("exact dedup", remove_copies), ("near dedup", remove_near_copies),
+    ("decontamination", remove_contaminated), ("packing", pack),
+]
 
 #: The stages learn, sketch and tokenize, which SQL cannot express; the tests compare them with brute force.
 ORACLE_SQL = None

@@ -20,6 +20,10 @@ REGISTERS = BANDS * BAND_SIZE
 BASE, RATE, LARGEST = 1.001, 20.0, 65535
 #: Candidates whose estimate is further below the threshold than that are dropped: over six standard errors at 160 registers.
 MARGIN = 0.2
+#: Bits of the table that shingles are counted in, to tell rare ones.
+FREQUENCY_BITS = 20
+#: Rows that are compared with as many others in one task.
+BLOCK = 512
 _GAPS = separators(b" \t\n\x0b\x0c\r")
 _RNG = np.random.default_rng(85)
 _FLIPS, _FACTORS = _RNG.integers(0, 2**63, REGISTERS, dtype=np.uint64), _RNG.integers(0, 2**62, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -121,18 +125,120 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(estimate)], ["a", "b", "estimate"])
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.sort(np.concatenate([x, y]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _verified(percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(_array(batch["sa"], np.uint64), _array(batch["sb"], np.uint64), strict=True):
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
+            keep = [_linked(x, y, percent) for x, y in zip(_array(batch["sa"], np.uint64), _array(batch["sb"], np.uint64), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return verify
 
 
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << FREQUENCY_BITS, np.int64)
+    for batch in batches:
+        for s in _array(batch["shingles"], np.uint64):
+            np.add.at(counts, _bucket(s), 1)
+    there = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], ["bucket", "n"])
+
+
+def _prefixes(frequency, percent: int):
+    """The rarest shingles of each set, as many as decide: two sets that are linked share one of the larger set's first
+    n - ceil(t n) + 1 and of the smaller set's first n - ceil(2 t / (1 + t) n) + 1, in any order that all sets have in common."""
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row, component, s in zip(batch[ROW].to_pylist(), batch["component"].to_pylist(), _array(batch["shingles"], np.uint64), strict=True):
+                n = len(s)
+                probe, index = n + (-percent * n // 100) + 1, n + (-2 * percent * n // (100 + percent)) + 1
+                rare = s[np.lexsort((s, frequency.value[_bucket(s)]))[:probe]].view(np.int64)
+                out.append((np.full(len(rare), row), np.full(len(rare), component), np.full(len(rare), n), rare, np.arange(len(rare)) < index))
+            columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4 + [np.zeros(0, bool)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [ROW, "component", "n", "shingle", "indexed"])
+    return prefixes
+
+
+LINKS = "a long, b long"
+
+
+def _compared(percent: int):
+    """Links between the texts of two blocks (or inside one), all of different components before; no more than connect them."""
+    def compare(table: pa.Table) -> pa.Table:
+        row, label, n = (table[c].to_numpy() for c in (ROW, "component", "n"))
+        lower = table["lower"].to_numpy(zero_copy_only=False)
+        registers = np.stack(_array(table["registers"], np.uint16))
+        sets = _array(table["shingles"], np.uint64)
+        left, right = np.flatnonzero(lower), np.flatnonzero(~lower)
+        inside = not len(right)
+        found, joined = [], {}
+
+        def root(x: int) -> int:
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+
+        candidates = []
+        for i in left:
+            others = left[left > i] if inside else right
+            others = others[(label[others] != label[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+            if len(others):
+                estimate = similarity(np.broadcast_to(registers[i], (len(others), REGISTERS)), registers[others], np.full(len(others), float(n[i])), n[others].astype(float))
+                near = estimate >= percent / 100 - MARGIN
+                candidates += [(-e, i, j) for e, j in zip(estimate[near], others[near], strict=True)]
+        for _, i, j in sorted(candidates):
+            x, y = root(int(label[i])), root(int(label[j]))
+            if x != y and _linked(sets[i], sets[j], percent):
+                joined[x] = y
+                found.append((min(row[i], row[j]), max(row[i], row[j])))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+    return compare
+
+
+def crossing(apart: DataFrame, sets: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect all rows of apart (__row, component) that are linked but in different components.
+
+    Linked sets share a rare shingle; what rare shingles connect is a family, so sets that have only much-used lines and
+    passages in common never meet. In a family, sets are told apart by size into classes (linked sizes are in one class or
+    the next) and classes into blocks of BLOCK rows, and each pair of blocks is compared in a task of its own that returns links
+    only. Rarity is counted in a table of fixed size, which any number of shingles may share."""
+    own = stored(apart.join(sets, ROW), "apart-sets")
+    table = own.select("shingles").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << FREQUENCY_BITS, np.int64)
+    counts[table["bucket"].to_numpy()] = table["n"].to_numpy()
+    frequency = apart.sparkSession.sparkContext.broadcast(counts)
+    rare = stored(own.mapInArrow(_prefixes(frequency, percent), f"{ROW} long, component long, n long, shingle long, indexed boolean"), "prefixes")
+    met = rare.groupBy("shingle").agg(F.min(ROW).alias("first"), F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("indexed").alias("indexed"))
+    met = stored(met.filter("low != high AND indexed").select("shingle", "first"), "met")
+    family = components(rare.join(met, "shingle").select(F.col("first").alias("a"), F.col(ROW).alias("b")).filter("a != b").distinct())
+    size_class = F.floor(F.log("n_shingles") / float(np.log(100 / percent))).cast("int")
+    members = own.join(family.select(F.col("node").alias(ROW), F.col("component").alias("family")), ROW).join(sketched, ROW).withColumn("size_class", size_class)
+    members = stored(members.select(ROW, "component", "family", "size_class", F.col("n_shingles").alias("n"), "registers", "shingles"), "members")
+    parts = stored(members.groupBy("family", "size_class").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "parts")
+    beside = lambda step: parts.select("family", (F.col("size_class") + step).alias("size_class"), F.col("parts").alias("above" if step < 0 else "below"))
+    parts = parts.join(beside(-1), ["family", "size_class"], "left").join(beside(1), ["family", "size_class"], "left").fillna(0, ["above", "below"])
+    placed = members.join(parts, ["family", "size_class"]).withColumn("part", F.pmod(F.xxhash64(ROW), F.col("parts")).cast("int"))
+    pair = lambda c, i, up, j, low: F.struct(c.alias("size_class"), i.alias("i"), F.lit(up).alias("up"), j.alias("j"), low.alias("lower"))
+    c, part, many = F.col("size_class"), F.col("part"), lambda n: F.sequence(F.lit(1), F.col(n))
+    same = F.transform(many("parts"), lambda k: pair(c, F.least(part, k - 1), 0, F.greatest(part, k - 1), part <= k - 1))
+    upward = F.when(F.col("above") > 0, F.transform(many("above"), lambda k: pair(c, part, 1, k - 1, F.lit(True))))
+    downward = F.when(F.col("below") > 0, F.transform(many("below"), lambda k: pair(c - 1, k - 1, 1, part, F.lit(False))))
+    empty = F.slice(same, 1, 0)
+    spread = placed.withColumn("pair", F.explode(F.concat(same, F.coalesce(upward, empty), F.coalesce(downward, empty))))
+    compared = spread.select("family", "pair.size_class", "pair.i", "pair.up", "pair.j", "pair.lower", ROW, "component", "n", "registers", "shingles")
+    links = _compared(percent)
+    return compared.groupBy("family", "size_class", "i", "up", "j").applyInArrow(lambda table: links(table), LINKS)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the least node that each node of the links (a, b) reaches.
 
@@ -158,8 +264,9 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Documents whose sets of five-word shingles have 100 * intersection >= percent * union are linked; a component is
     what links reach, named by its smallest doc_id, and one row of it is kept. Documents with equal sets are one class, which
     is sketched and compared once. In each bucket of a band every class is compared with the first one; afterwards
-    classes of a bucket that are still in different components are compared with each other, so no link between
-    components is lost and the pairs inside a large group of copies are never formed. Candidates pass the likelihood
+    classes of a bucket that are still in different components are compared with each other if they share a rare shingle, as all
+    linked ones do. So no link between components is lost, and neither the pairs inside a large group of copies nor those that
+    share much-used passages only are formed. Candidates pass the likelihood
     estimate of their registers before full sets are fetched, and every link is confirmed on them.
 
     A null text is an empty one; texts without words have no shingles and are linked with nothing. A null doc_id counts as the
@@ -192,10 +299,8 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     placed = crowded.drop("first").join(found.withColumnRenamed("node", ROW), ROW, "left").withColumn("component", F.coalesce("component", ROW))
     placed = stored(placed, "placed")
     split = stored(placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("band", "key"), "split")
-    apart = stored(placed.join(split, ["band", "key"]), "apart")
-    x, y = (apart.select("band", "key", F.col(ROW).alias(s), F.col("component").alias(f"c{s}")) for s in "ab")
-    across = x.join(y, ["band", "key"]).filter("ca < cb").select("a", "b").distinct().join(best, ["a", "b"], "left_anti")
-    more = verified(stored(estimated(across), "across"))
+    apart = stored(placed.join(split, ["band", "key"]).select(ROW, "component").distinct(), "apart")
+    more = stored(crossing(apart, sets, sketched, percent), "across")
     if not more.isEmpty():
         found = components(links.unionByName(more))
     named = sketches.select(ROW, "doc_id", "n_shingles", "digest").join(classes, "digest", "left").select(ROW, "doc_id", "n_shingles", F.coalesce("class", ROW).alias("class"))

@@ -16,8 +16,8 @@ from care_measures.llm.words import LOWER, HashTable, Words, blocks, held, missi
 
 #: Labelled documents of each class that the lexicon and the weights are learned from.
 SAMPLE = 6000
-#: Terms of the lexicon at most, and the lengths of the stems among them.
-TERMS, STEMS = 1500, (4, 5, 6)
+#: Terms that the lexicon is made from at most, and the lengths of the stems among them.
+TERMS, STEMS = 5000, (4, 5, 6)
 #: A term stands in so many toxic sample documents at least, and in toxic ones so many times as often as in others.
 LEAST, RATIO = 4, 30.0
 WINDOW = 8
@@ -40,8 +40,9 @@ class Lexicon:
                 node = node.setdefault(c, {})
             node[STEM if is_stem else WHOLE] = weight
         whole = [t for t, is_stem, _ in terms if not is_stem and len(t) >= 5]
-        # a word within one edit of a term shares its first two or its last two characters, within two its first or last
-        self._heads, self._tails = {t[:2] for t in whole}, {t[-2:] for t in whole}
+        # a word within one edit of a term has its first two or its last three characters, and nearly its length
+        self._heads = {(t[:2], len(t) + d) for t in whole for d in (-2, -1, 0, 1, 2)}
+        self._tails = {(t[-3:], len(t) + d) for t in whole for d in (-2, -1, 0, 1, 2)}
 
     def look_up(self, word: str) -> tuple[int, float]:
         """Kind of the best find for a word (0: none) and its weight."""
@@ -54,7 +55,7 @@ class Lexicon:
                 best = max(best, (STEM, node[STEM]), key=lambda x: x[1])
             if i == len(word) - 1 and WHOLE in node:
                 return WHOLE, node[WHOLE]
-        if best[0] or len(word) < 4 or len(word) > 40 or not (word[:2] in self._heads or word[-2:] in self._tails):
+        if best[0] or len(word) < 4 or len(word) > 40 or not ((word[:2], len(word)) in self._heads or (word[-3:], len(word)) in self._tails):
             return best
         weight = self._near(word)
         return (NEAR, weight) if weight else (0, 0.0)
@@ -62,21 +63,25 @@ class Lexicon:
     def _near(self, word: str) -> float:
         """The automaton that accepts all within one edit of the word (two: from nine characters on), run over the trie.
 
-        A state is the row of edit distances between what has been read of a term and each start of the word; a branch of
-        the trie is left as soon as no distance in its state is small enough."""
-        most, best = 2 if len(word) >= 9 else 1, 0.0
-        stack = [(self.root, tuple(range(len(word) + 1)), 0)]
+        Its states are sets of starts of the word, one for each number of edits, held as the bits of integers; a branch of the
+        trie is left as soon as they are empty."""
+        n, most, best, at = len(word), 2 if len(word) >= 9 else 1, 0.0, {}
+        for j, c in enumerate(word):
+            at[c] = at.get(c, 0) | 1 << j
+        full, end = (2 << n) - 1, 1 << n
+        stack = [(self.root, tuple((2 << e) - 1 for e in range(most + 1)), 0)]
         while stack:
             node, state, depth = stack.pop()
-            if WHOLE in node and depth >= (5 if most == 1 else 8) and state[-1] <= most:
+            if WHOLE in node and depth >= (5 if most == 1 else 8) and state[-1] & end:
                 best = max(best, node[WHOLE])
             for c, child in node.items():
-                if isinstance(c, int):
+                if c in (WHOLE, STEM):
                     continue
-                new = [state[0] + 1]
-                for j, w in enumerate(word):
-                    new.append(min(new[j] + 1, state[j + 1] + 1, state[j] + (w != c)))
-                if min(new) <= most:
+                here = at.get(c, 0)
+                new = [(state[0] & here) << 1]
+                for e in range(1, most + 1):
+                    new.append(((state[e] & here) << 1 | state[e - 1] << 1 | state[e - 1] | new[-1] << 1) & full)
+                if new[-1]:
                     stack.append((child, tuple(new), depth + 1))
         return best
 
@@ -168,6 +173,23 @@ def sampled_labels(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame
     return stored(keyed(docs).join(chosen, "doc_id").select(ROW, "doc_id", "text", F.col("toxic").cast("int").alias("toxic")), "sampled-documents")
 
 
+def condensed(rows: list[tuple[str, bool, int, float]]) -> list[tuple[str, bool, float]]:
+    """The lexicon from counted words and stems (term, is_stem, toxic documents, log odds).
+
+    A stem stays if it stands in twice as many toxic documents as any one word that begins with it, so that it speaks for
+    endings that were not seen; words and longer stems that begin with a stem that stays are left to it."""
+    most: dict[str, int] = {}
+    for term, is_stem, n, _ in rows:
+        if not is_stem:
+            for k in STEMS:
+                most[term[:k]] = max(n, most.get(term[:k], 0))
+    stems: set[str] = set()
+    for term, is_stem, n, _ in sorted(rows, key=lambda r: (len(r[0]), r[0])):
+        if is_stem and n >= 2 * most.get(term, 0) and not any(term[:k] in stems for k in STEMS if k < len(term)):
+            stems.add(term)
+    return [(term, is_stem, odds) for term, is_stem, _, odds in rows if (term in stems if is_stem else not any(term[:k] in stems for k in STEMS))]
+
+
 def learn_terms(sample: DataFrame) -> list[tuple[str, bool, float]]:
     """Words and stems that stand in toxic documents far more often than in others, with their log odds."""
     n = {r["toxic"] > 0: r["count"] for r in sample.groupBy("toxic").count().collect()}
@@ -176,7 +198,7 @@ def learn_terms(sample: DataFrame) -> list[tuple[str, bool, float]]:
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = F.log((F.col("toxic") / toxic) / ((F.col("other") + 0.5) / other))
     best = counted.filter((F.col("toxic") >= LEAST) & (odds >= float(np.log(RATIO)))).orderBy(F.desc("toxic"), "term", "is_stem").limit(TERMS)
-    return [(r["term"], r["is_stem"], float(r["odds"])) for r in best.withColumn("odds", odds).collect()]
+    return condensed([(r["term"], r["is_stem"], r["toxic"], float(r["odds"])) for r in best.withColumn("odds", odds).collect()])
 
 
 def _features(terms: list[tuple[str, bool, float]], extra: str):

@@ -314,7 +314,7 @@ def test_levenshtein_automaton_over_the_trie():
             kind, _ = lexicon.look_up(word)
             most = 2 if len(word) >= 9 else 1
             near = any(distance(t, word) <= most for t in ("idiot", "worthless") if len(t) >= (8 if most == 2 else 5))
-            shares = word[:2] in {"id", "wo"} or word[-2:] in {"ot", "ss"}
+            shares = any(abs(len(t) - len(word)) <= 2 and (word[:2] == t[:2] or word[-3:] == t[-3:]) for t in ("idiot", "worthless"))
             assert kind == (toxicity.WHOLE if word in ("idiot", "worthless") else toxicity.NEAR if near and shares and len(word) >= 4 else 0)
     assert lexicon.look_up("loweischaft")[0] == toxicity.STEM and lexicon.look_up("bax")[0] == 0
 

@@ -28,6 +28,8 @@ _K = _RNG.integers(0, 2**62, 24, dtype=np.uint64) * _U(2) + _U(1)
 _BASE = int(_RNG.integers(0, 2**62)) * 2 + 1
 _UNBASE = pow(_BASE, -1, 2**64)
 _BLOCK = 400_000
+#: Places that a task holds before it sends them on, and rows of texts it cuts at once.
+_HELD, _ROWS = 200_000, 256
 
 
 class Names:
@@ -126,7 +128,7 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = Names(texts)
             parts.append(names.seed[names.sampled()[0]])
             held += len(parts[-1])
-            if held > 2_000_000:
+            if held > _HELD:
                 yield _counted(parts)
                 parts, held = [], 0
     yield _counted(parts)
@@ -152,17 +154,32 @@ def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return row, start, end
 
 
-def _own_firsts(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """The first place of each name pair in a task; later ones are covered whatever other tasks hold."""
-    if not parts:
-        return
+def _in_slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def _own_firsts(found: Iterator[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """The first place of each name pair in each run of a task; later ones are covered whatever other runs hold."""
+    parts, held = [], 0
+    for part in found:
+        parts.append(part)
+        held += len(part[0])
+        if held >= _HELD:
+            yield from _firsts(parts)
+            parts, held = [], 0
+    if parts:
+        yield from _firsts(parts)
+
+
+def _firsts(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
     a, b, doc, row, start, end, name = (np.concatenate(c) for c in zip(*parts, strict=True))
     order = np.lexsort((start, row, doc, b, a))
     a, b, doc, row, start, end, name = (c[order] for c in (a, b, doc, row, start, end, name))
     first = np.ones(len(a), bool)
     first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c[first].view(np.int64)) for c in (a, b, doc, row, start, end, name)] + [pa.array(np.zeros(int(first.sum()), bool))], schema=_PLACES)
+    yield from _in_slices(pa.RecordBatch.from_arrays(
+        [pa.array(c[first].view(np.int64)) for c in (a, b, doc, row, start, end, name)] + [pa.array(np.zeros(int(first.sum()), bool))], schema=_PLACES), 50_000)
     row, start, end = _spans(row[~first], start[~first], end[~first])
     key, none = mix(row.view(np.uint64) ^ mix(start.view(np.uint64))).view(np.int64), np.zeros(len(row), np.int64)
     yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, row, none, row, start, end, none)] + [pa.array(np.ones(len(row), bool))], schema=_PLACES)
@@ -170,8 +187,7 @@ def _own_firsts(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
 
 def _contexts(shared: Broadcast):
     """For sampled positions whose name may stand elsewhere: names of all that their windows can hold."""
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
             doc, row = batch["doc_order"].to_numpy(), batch[ROW].to_numpy()
             for first, texts in blocks(batch, size=_BLOCK):
@@ -182,9 +198,8 @@ def _contexts(shared: Broadcast):
                 origin = names.starts[text]
                 begin, end = np.maximum(at - _SPAN, origin), np.minimum(at + LENGTH, origin + names.sizes[text])
                 a = names.wide(at - _SPAN, at - _SPAN + 64, at + LENGTH - 64)
-                parts.append([a, names.second(at - _SPAN, at + LENGTH), doc[first + text], row[first + text], begin - origin, end - origin, names.seed[at]])
-        yield from _own_firsts(parts)
-    return contexts
+                yield [a, names.second(at - _SPAN, at + LENGTH), doc[first + text], row[first + text], begin - origin, end - origin, names.seed[at]]
+    return lambda batches: _own_firsts(found(batches))
 
 
 def _steps(names: Names, mixed: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -203,8 +218,7 @@ def _steps(names: Names, mixed: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _groups(mixed: Broadcast):
     """For groups of windows of the positions that are left: names of all that the group holds."""
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
             doc, row = batch["doc_order"].to_numpy(), batch[ROW].to_numpy()
             for block, texts in blocks(batch, size=_BLOCK):
@@ -213,14 +227,12 @@ def _groups(mixed: Broadcast):
                 text = names.text_of(first)
                 origin = names.starts[text]
                 a = names.wide(first, last + LENGTH - 64)
-                parts.append([a, names.second(first, last + LENGTH), doc[block + text], row[block + text], first - origin, last - origin + LENGTH, core])
-        yield from _own_firsts(parts)
-    return groups
+                yield [a, names.second(first, last + LENGTH), doc[block + text], row[block + text], first - origin, last - origin + LENGTH, core]
+    return lambda batches: _own_firsts(found(batches))
 
 
 def _windows(mixed: Broadcast, shared: Broadcast):
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
             doc, row = batch["doc_order"].to_numpy(), batch[ROW].to_numpy()
             for block, texts in blocks(batch, size=_BLOCK):
@@ -231,9 +243,8 @@ def _windows(mixed: Broadcast, shared: Broadcast):
                 at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 text = names.text_of(at)
                 start = at - names.starts[text]
-                parts.append([names.wide(at, at + LENGTH - 64), names.second(at, at + LENGTH), doc[block + text], row[block + text], start, start + LENGTH, np.zeros(len(at), np.uint64)])
-        yield from _own_firsts(parts)
-    return windows
+                yield [names.wide(at, at + LENGTH - 64), names.second(at, at + LENGTH), doc[block + text], row[block + text], start, start + LENGTH, np.zeros(len(at), np.uint64)]
+    return lambda batches: _own_firsts(found(batches))
 
 
 def _ranked(places: DataFrame, name: str) -> DataFrame:
@@ -260,7 +271,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _texts(touched: Broadcast):
     """Rows, and the texts of those that may have something to remove; of the others what is kept is known."""
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _in_slices(whole, _ROWS)):
             pick = _holds(touched.value, mix(batch[ROW].to_numpy().view(np.uint64).copy()))
             own = batch["text"].cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
@@ -270,24 +281,27 @@ def _texts(touched: Broadcast):
     return texts
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for data, sha, spans in zip(batch["bytes"].to_pylist(), batch["sha"].to_pylist(), batch["spans"].to_pylist(), strict=True):
-            spans = [(s["start"], s["end"]) for s in spans or []]
-            if data is not None:
-                edges = [0, *(x for s in spans for x in s), len(data)]
-                data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                sha = hashlib.sha256(data).hexdigest()
-            rows.append((sum(b - a for a, b in spans), len(spans), sha, data))
-        removed, n, sha, kept = zip(*rows, strict=True) if rows else ((),) * 4
-        yield pa.RecordBatch.from_arrays(
-            [batch[ROW], batch["doc_id"], batch["n_bytes"], pa.array(removed, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())],
-            [ROW, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
-
-
-def suffix_dedup(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: __row, doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text (null: the text as it is).
+def _cut(with_text: bool):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in _in_slices(whole, _ROWS)):
+            rows = []
+            for data, sha, spans in zip(batch["bytes"].to_pylist(), batch["sha"].to_pylist(), batch["spans"].to_pylist(), strict=True):
+                spans = [(s["start"], s["end"]) for s in spans or []]
+                if data is not None:
+                    edges = [0, *(x for s in spans for x in s), len(data)]
+                    data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                    sha = hashlib.sha256(data).hexdigest()
+                rows.append((sum(b - a for a, b in spans), len(spans), sha, data if with_text else None))
+            removed, n, sha, kept = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [batch[ROW], batch["doc_id"], batch["n_bytes"], pa.array(removed, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())],
+                [ROW, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+    return cut
+
+
+def suffix_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
+    """One row per row of docs: __row, doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text (null: the text as it is,
+    or with_text is false).
 
     A byte is removed if a string of LENGTH bytes around it also starts earlier: in a row with smaller doc_id (of equal ones, one read
     earlier; a null doc_id counts as the largest) or earlier in the same text. Prefix doubling names strings of 32 bytes
@@ -313,7 +327,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     spans = stored(found.mapInArrow(_merged, f"{ROW} long, spans array<struct<start: long, end: long>>"), "spans")
     touched = _filter(spans.mapInArrow(_row_names, "name long"), "name")
     texts = rows.mapInArrow(_texts(touched), f"{ROW} long, doc_id long, n_bytes long, bytes binary, sha string")
-    return texts.join(spans, ROW, "left").mapInArrow(_cut, f"{ROW} long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary")
+    return texts.join(spans, ROW, "left").mapInArrow(_cut(with_text), f"{ROW} long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary")
 
 
 def _row_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,4 +336,4 @@ def _row_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffix_dedup(documents(spark, sf_dir), with_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -130,9 +130,9 @@ def minute_diff(a: Column | str, b: Column | str) -> Column:
 
 
 def age_years(birth: Column | str, as_of: date) -> Column:
-    """Whole 8766-hour years from birth to midnight of ``as_of``."""
+    """Whole 8766-hour years from birth to midnight of ``as_of``, cut toward zero: 0 for a birth in the year after it."""
     hours = F.datediff(F.lit(as_of), _c(birth)) * F.lit(24)
-    return F.floor(hours / F.lit(8766)).cast("int")
+    return (hours / F.lit(8766)).cast("int")
 
 
 def age_months(birth: Column | str, as_of: date) -> Column:

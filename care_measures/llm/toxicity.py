@@ -27,6 +27,8 @@ _DOUBLE, _SINGLE, _QUOTES = re.compile(rb"\xe2\x80[\x9c-\x9f]|\xc2[\xab\xbb]"),
 WHOLE, STEM, NEAR = 1, 2, 3
 FEATURES = 8
 MEMORY_WORDS = 1_500_000
+#: Words whose automata are run side by side.
+AT_ONCE = 1 << 14
 
 
 class Lexicon:
@@ -46,6 +48,24 @@ class Lexicon:
 
     def look_up(self, word: str) -> tuple[int, float]:
         """Kind of the best find for a word (0: none) and its weight."""
+        kind, weight = self.look_up_all([word])
+        return int(kind[0]), float(weight[0])
+
+    def look_up_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for many words at once."""
+        kind, weight, left = np.zeros(len(words), np.int8), np.zeros(len(words)), ([], [])
+        for i, word in enumerate(words):
+            kind[i], weight[i] = self._exact(word)
+            if not kind[i] and 4 <= len(word) <= 40 and ((word[:2], len(word)) in self._heads or (word[-3:], len(word)) in self._tails):
+                left[len(word) >= 9].append(i)
+        for edits, places in enumerate(left, 1):
+            for at in range(0, len(places), AT_ONCE):
+                some = places[at: at + AT_ONCE]
+                weight[some] = self._near([words[i] for i in some], edits)
+                kind[some] = np.where(weight[some] > 0, NEAR, 0)
+        return kind, weight
+
+    def _exact(self, word: str) -> tuple[int, float]:
         node, best = self.root, (0, 0.0)
         for i, c in enumerate(word):
             node = node.get(c)
@@ -55,34 +75,36 @@ class Lexicon:
                 best = max(best, (STEM, node[STEM]), key=lambda x: x[1])
             if i == len(word) - 1 and WHOLE in node:
                 return WHOLE, node[WHOLE]
-        if best[0] or len(word) < 4 or len(word) > 40 or not ((word[:2], len(word)) in self._heads or (word[-3:], len(word)) in self._tails):
-            return best
-        weight = self._near(word)
-        return (NEAR, weight) if weight else (0, 0.0)
-
-    def _near(self, word: str) -> float:
-        """The automaton that accepts all within one edit of the word (two: from nine characters on), run over the trie.
-
-        Its states are sets of starts of the word, one for each number of edits, held as the bits of integers; a branch of the
-        trie is left as soon as they are empty."""
-        n, most, best, at = len(word), 2 if len(word) >= 9 else 1, 0.0, {}
-        for j, c in enumerate(word):
-            at[c] = at.get(c, 0) | 1 << j
-        full, end = (2 << n) - 1, 1 << n
-        stack = [(self.root, tuple((2 << e) - 1 for e in range(most + 1)), 0)]
+        return best
+
+    def _near(self, words: list[str], edits: int) -> np.ndarray:
+        """The largest weight of a whole term within so many edits of each word (0: none).
+
+        The automata that accept all within the edits of a word are run over the trie, those of all words side by side: the
+        states of an automaton are sets of starts of its word, one for each number of edits, held as the bits of integers. A
+        branch of the trie is left by the words whose sets are empty."""
+        width, one = max(map(len, words)), np.uint64(1)
+        letters = np.array(words, f"U{width}").view(np.uint32).reshape(len(words), width)
+        end = one << np.fromiter(map(len, words), np.uint64, len(words))
+        full, bit, best, at = (end << one) - one, one << np.arange(width, dtype=np.uint64), np.zeros(len(words)), {}
+        stack = [(self.root, np.arange(len(words)), [np.full(len(words), (2 << e) - 1, np.uint64) for e in range(edits + 1)], 0)]
         while stack:
-            node, state, depth = stack.pop()
-            if WHOLE in node and depth >= (5 if most == 1 else 8) and state[-1] & end:
-                best = max(best, node[WHOLE])
+            node, who, state, depth = stack.pop()
+            if WHOLE in node and depth >= (5 if edits == 1 else 8):
+                hit = who[state[-1] & end[who] > 0]
+                best[hit] = np.maximum(best[hit], node[WHOLE])
             for c, child in node.items():
                 if c in (WHOLE, STEM):
                     continue
-                here = at.get(c, 0)
-                new = [(state[0] & here) << 1]
-                for e in range(1, most + 1):
-                    new.append(((state[e] & here) << 1 | state[e - 1] << 1 | state[e - 1] | new[-1] << 1) & full)
-                if new[-1]:
-                    stack.append((child, tuple(new), depth + 1))
+                if c not in at:
+                    at[c] = np.where(letters == ord(c), bit, np.uint64(0)).sum(axis=1, dtype=np.uint64)
+                here, most = at[c][who], full[who]
+                new = [(state[0] & here) << one]
+                for e in range(1, edits + 1):
+                    new.append(((state[e] & here) << one | state[e - 1] << one | state[e - 1] | new[-1] << one) & most)
+                alive = np.flatnonzero(new[-1])
+                if len(alive):
+                    stack.append((child, who[alive], [s[alive] for s in new], depth + 1))
         return best
 
 
@@ -117,10 +139,9 @@ class Scorer:
         words = Words([_plain(t) for t in texts], LOWER, _GAPS)
         number, new = missing(self.table, words.hashes)
         if len(new):
-            looked = [self.lexicon.look_up(words.word(i).decode()) for i in new]
+            kind, weight = self.lexicon.look_up_all([words.word(i).decode() for i in new])
             self.table.add(words.hashes[new])
-            self.kind = np.concatenate([self.kind, np.array([k for k, _ in looked], np.int8)])
-            self.weight = np.concatenate([self.weight, [w for _, w in looked]])
+            self.kind, self.weight = np.concatenate([self.kind, kind]), np.concatenate([self.weight, weight])
             number = self.table.find(words.hashes)
         out = np.zeros((len(texts), FEATURES))
         if not len(number):

@@ -16,6 +16,12 @@ def ids_of(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).alias("id")).distinct()
 
 
+def of_cohort(facts: DataFrame, members: DataFrame, key: str, member_key: str | None = None) -> DataFrame:
+    """Rows of ``facts`` whose ``key`` is among the members'. Apply it before facts are aggregated."""
+    ids = members.select(F.col(member_key or key).alias("_member"))
+    return facts.join(ids, F.col(key) == F.col("_member"), "left_semi")
+
+
 def cohort(base: DataFrame, key: str, include: Sequence[DataFrame] = (),
            exclude: Sequence[DataFrame] = (), key_nullable: bool = False) -> DataFrame:
     """Rows of ``base`` whose ``key`` is in every ``include`` and in no ``exclude``.

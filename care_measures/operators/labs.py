@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 
 def lab_results(req: DataFrame, sets: DataFrame, items: DataFrame, values: DataFrame | None = None, *,
                 hist: str = "match", where: Column | None = None) -> DataFrame:
-    """One row per result.
+    """One row per result, joined from the request down: only requests have dates to be cut by.
 
     ``hist`` says how the history id takes part: ``match`` joins on it, ``zero`` keeps only
     current rows (the item level is not tested), ``ignore`` leaves it out. ``where`` is
@@ -22,7 +22,7 @@ def lab_results(req: DataFrame, sets: DataFrame, items: DataFrame, values: DataF
     if not extra:
         req, sets, items = (d.drop("lab_hist_req_id") for d in (req, sets, items))
         values = None if values is None else values.drop("lab_hist_req_id")
-    out = items.join(sets, ["lab_result_set_id", *extra]).join(req, ["lab_result_req_id", *extra])
+    out = req.join(sets, ["lab_result_req_id", *extra]).join(items, ["lab_result_set_id", *extra])
     if values is not None:
         out = out.join(values, ["lab_result_item_id", *extra])
     return out if where is None else out.where(where)

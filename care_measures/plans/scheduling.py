@@ -11,6 +11,7 @@ from ..functions.expressions import (ci, classify_status, day, flag, is_any, lik
 from ..functions.periods import Period
 from ..operators.booking import next_booking, responses_wide
 from ..operators.events import milestones, stage_durations
+from ..operators.filters import of_cohort
 from ..operators.observations import PATIENT
 from ..operators.report import report
 from ..sources import views
@@ -39,9 +40,10 @@ def appointment_status(src: Source, as_of: date) -> DataFrame:
     later = (appts.where(within("booked_by_date", p.start, p.end)).join(types, "visit_type_id")
              .join(dept.select("departmentid"), "departmentid", "left_semi")
              .select(PATIENT, "short_desc", day("booking_date").alias("slot_day"), "start_minutes", "booking_date"))
+    asked = of_cohort(src.table("patientapptresp"), b, "appointmentid")
     b = next_booking(b, later, (PATIENT, "short_desc"), day="slot_day", minute="start_minutes",
                      order=("slot_day",), payload=("booking_date",))
-    answers = responses_wide(src.table("patientapptresp"), "appointmentid", "question", "response_text",
+    answers = responses_wide(asked, "appointmentid", "question", "response_text",
                              NO_SHOW_QUESTIONS)
     people = views.patients(src, as_of, unique=False).select(PATIENT, "patientid").distinct()
     b = b.join(answers, "appointmentid", "left").join(people, PATIENT)
@@ -116,7 +118,8 @@ def cycle_time(src: Source, as_of: date) -> DataFrame:
     appts = src.table("patientappt").where(within("booking_date", p.start, p.end) & (ci("status") == "appt kept"))
     v = (appts.join(types, "visit_type_id").join(views.providers(src).select("doctorid", "provider_name"), "doctorid")
          .join(views.departments(src).select("departmentid", "short_name"), "departmentid"))
-    marks = milestones(src.table("appt_tracking"), "bookings_id", "tracking_type", "start_datetime",
+    log = of_cohort(src.table("appt_tracking"), v, "bookings_id", "appointmentid")
+    marks = milestones(log, "bookings_id", "tracking_type", "start_datetime",
                        "appt_tracking_id", MILESTONES, ci("active_yn") == "y")
     v = v.join(marks, v["appointmentid"] == marks["bookings_id"], "left")
     v = stage_durations(v, STAGES).join(

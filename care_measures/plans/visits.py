@@ -11,7 +11,7 @@ from ..functions.expressions import (bp_final_controlled, bp_first_controlled, f
                                      or_blank, try_int, us_date, yes_no)
 from ..functions.periods import Period
 from ..functions.valuesets import ValueSet
-from ..operators.filters import cohort
+from ..operators.filters import cohort, of_cohort
 from ..operators.observations import PATIENT, in_window, on_day
 from ..operators.report import report
 from ..sources import views
@@ -123,7 +123,7 @@ def last_dental_exam(src: Source, as_of: date) -> DataFrame:
     exam_day = F.col("data_value").try_cast("date")
     exams = controls(src).where((F.col("template_field_id") == 9273)
                                 & exam_day.between(p.lookback(years=1, anchor="end"), p.end))
-    exams = (notes(src).select("patient_note_id", PATIENT).join(exams, "patient_note_id")
+    exams = (of_cohort(notes(src).select("patient_note_id", PATIENT), v, PATIENT).join(exams, "patient_note_id")
              .groupBy(PATIENT).agg(F.max(F.struct(exam_day.alias("on"), "data_value"))["data_value"].alias("exam")))
     return report(v.join(exams, PATIENT, "left"), {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid", "Age": "age",

@@ -32,12 +32,6 @@ def patients(src: Source, as_of: date, unique: bool = True) -> DataFrame:
                     age.alias("age2"), age_months("birthdate", as_of).alias("agemonth"))
 
 
-def one_patient_row(src: Source, as_of: date) -> DataFrame:
-    """Patient view for measures that do not ask for rank 1 but keep one row per patient."""
-    return latest_per_key(patients(src, as_of, unique=False), ["patientprofileid"],
-                          ["patientid", "birthdate", "sex"])
-
-
 def registered_patients(src: Source, as_of: date) -> DataFrame:
     """Newest active, undeleted version of each of the site's patients, with age."""
     ok = (ci("active_yn") == "y") & (ci("deleted_yn") != "y") & (F.col("company_id") == src.config.company_id)

@@ -87,6 +87,10 @@ def test_ages_and_bands(spark):
         "A. 0 to 5", "A. 0 to 5", "B. 6 to 13", "B. 6 to 13", "C. 14 to 21", "C. 14 to 21", "D. 22 and Up", "NA", "NA"]
 
 
+def test_age_before_birth_is_cut_toward_zero(spark):
+    assert column(spark, [date(2024, 7, 20), date(2025, 7, 10), date(2026, 9, 1)], "DATE", x.age_years("v", date(2024, 7, 15))) == [0, 0, -2]
+
+
 def test_blood_pressure_rules(spark):
     rows = [(50, True, "139", "89", None, None, True, True), (50, True, "140", "80", None, None, False, False),
             (65, True, "149", "89", "", "", True, True), (65, False, "149", "89", None, None, False, False),

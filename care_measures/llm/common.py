@@ -11,7 +11,8 @@ from pathlib import Path
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-ROW = "__row"
+ROW, DOC = "__row", "__doc"
+_MARK = "llm_row_key"
 
 
 @cache
@@ -20,8 +21,11 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); one of our own where none is set, as in local tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
+    """The folder that driver and executors share (spark.checkpoint.dir); one of our own where none is set and all is local."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return shared or _own_dir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -54,26 +58,42 @@ def _ship(application: str) -> None:
     SparkContext.getOrCreate().addPyFile(str(archive))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with a key for each row, stored: (__row, __doc), __doc holding the columns of docs whatever their names are.
+
+    Keys that Spark numbers anew at each reading depend on how files are dealt to tasks, and that on the executors there
+    are just then. So whoever reads rows more than once and joins by their keys reads them from here. What is
+    numbered already is returned as it is."""
+    if is_numbered(docs):
+        return docs
+    key = F.monotonically_increasing_id().alias(ROW, metadata={_MARK: True})
+    return stored(docs.select(key, F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias(DOC)), "numbered")
+
+
+def is_numbered(docs: DataFrame) -> bool:
+    return docs.columns == [ROW, DOC] and bool(docs.schema[ROW].metadata.get(_MARK))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(__row, doc_id, text): a key for each row, whatever its doc_id; a null text counts as empty.
 
-    Extra columns are left out here, so their names cannot clash. The keys are the same whenever the same stored
-    table is read in the same session, so a result can be joined back to `with_rows(docs)`."""
+    Extra columns are left out here, so their names cannot clash. The keys of a numbered table are those stored; those of
+    another hold within one reading only."""
     _ship(docs.sparkSession.sparkContext.applicationId)
+    key, of = (F.col(ROW), f"{DOC}.") if is_numbered(docs) else (F.monotonically_increasing_id(), "")
     return docs.select(
-        F.monotonically_increasing_id().alias(ROW), F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    )
-
-
-def with_rows(docs: DataFrame) -> DataFrame:
-    """All columns of docs and the row key that `keyed` gives."""
-    return docs.select(F.monotonically_increasing_id().alias(ROW), "*")
+        key.alias(ROW), F.col(f"{of}doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(f"{of}text"), F.lit("")).alias("text"))
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose key is in kept, with the columns of docs."""
-    return with_rows(docs).join(kept.select(ROW), ROW, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of a numbered table whose key is in kept, with the columns it was numbered with."""
+    if not is_numbered(docs):
+        raise ValueError("rows can be kept by key from a numbered table only")
+    return docs.join(kept.select(ROW), ROW, "left_semi").select(f"{DOC}.*")
 
 
 def fold(folds: int) -> Column:

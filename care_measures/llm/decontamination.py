@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from care_measures.llm.common import ROW, documents, keyed, stored
+from care_measures.llm.common import ROW, documents, keyed, numbered, stored
 from care_measures.llm.words import LOWER, HashTable, Words, blocks, separators
 
 WIDTH = 13
@@ -149,10 +149,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, ite
     Matches never cross documents. Null texts and items have no words and match nothing. An item without item_id is searched for and
     has a null id in matches. Repeated rows are documents of their own; an empty benchmark hits nothing, an empty table
     gives no rows. Other columns are not read."""
-    rows = keyed(docs)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     n = 1 + int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // item_bytes
-    found = []
+    rows, found = keyed(docs if n == 1 else numbered(docs)), []
     for k in range(n):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()  # a bounded block
         found.append(rows.mapInArrow(_search(Items([x[0] for x in part], [x[1].encode() for x in part], width)), OUT))

@@ -210,7 +210,7 @@ def _identified(network: BiGRU, languages: list[str]):
     key = uuid.uuid4().hex
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        identifier = held("languages", key, lambda: Identifier(network, languages))
+        identifier = held(key, lambda: Identifier(network, languages))
         for batch in batches:
             for first, texts in blocks(batch):
                 part, names, scores = batch.slice(first, len(texts)), [UNKNOWN] * len(texts), np.zeros(len(texts))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from care_measures.llm.common import ROW, documents, fold, keyed, stored
+from care_measures.llm.common import ROW, documents, fold, keyed, numbered, stored
 from care_measures.llm.words import LOWER, HashTable, Words, blocks, separators
 
 #: Bytes of context at most; contexts that get a node (those that occur most often); documents scored together.
@@ -232,7 +232,7 @@ def score(docs: DataFrame, is_training, contexts: int = CONTEXTS, together: int
     A null text is an empty one: an end alone. Repeated rows count as often as they stand there. Without training rows all
     words are unknown and the tree predicts evenly. An empty table gives no rows; other columns are not read."""
     spark = docs.sparkSession
-    rows = keyed(docs).withColumn("trained", is_training).withColumn("block", F.floor(F.col(ROW) / together))
+    rows = keyed(numbered(docs)).withColumn("trained", is_training).withColumn("block", F.floor(F.col(ROW) / together))
     tree = spark.sparkContext.broadcast(learn_tree(rows.filter("trained"), contexts))
     words = stored(rows.select("block", "trained", "text").mapInArrow(_block_words, "block long, word long, n long"), "block-words")
     counts = stored(words.groupBy("word").agg(F.sum("n").alias("count")).filter("count > 0"), "word-counts")

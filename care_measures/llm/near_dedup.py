@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from care_measures.llm.common import ROW, documents, keyed, stored
-from care_measures.llm.words import LOWER, Words, blocks, mix, separators
+from care_measures.llm.common import ROW, documents, keyed, numbered, stored
+from care_measures.llm.words import LOWER, Words, blocks, forget, mix, separators
 
 SHINGLE, PERCENT = 5, 85
 #: At a similarity of 0.85 a pair shares no band with probability 7e-9.
@@ -88,6 +88,7 @@ SKETCH = f"{ROW} long, doc_id long, n_shingles long, digest binary, keys array<l
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         for first, texts in blocks(batch):
             part, (flat, starts) = batch.slice(first, len(texts)), shingle_sets(texts)
@@ -272,7 +273,7 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     A null text is an empty one; texts without words have no shingles and are linked with nothing. A null doc_id counts as the
     largest; of rows with equal doc_id the first one read is kept. Repeated rows are one class. An empty table gives
     no rows; other columns are not read."""
-    rows = keyed(docs)
+    rows = keyed(numbered(docs))
     sketches = stored(rows.mapInArrow(_sketches, SKETCH), "sketches")
     classes = stored(sketches.filter("n_shingles > 0").groupBy("digest").agg(F.min(ROW).alias("class")), "classes")
     firsts = sketches.join(classes.select(F.col("class").alias(ROW)), ROW, "left_semi")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from care_measures.llm.common import ROW, documents, keyed, stored
+from care_measures.llm.common import ROW, documents, keyed, numbered, stored
 from care_measures.llm.words import blocks, mix, powers
 
 #: Bytes of a string that is removed where it stands again; bytes of the names that positions are sampled by.
@@ -313,7 +313,7 @@ def suffix_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
 
     A null text is an empty one; texts shorter than LENGTH lose nothing. Repeated rows are copies of the first. An empty table gives no rows;
     other columns are not read."""
-    rows = keyed(docs)
+    rows = keyed(numbered(docs))
     ordered = rows.select(ROW, F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_order"), "text")
     again = lambda df, c: df.groupBy(c).agg(F.sum("n").alias("n")).filter("n > 1").select(c)
     shared = _filter(again(rows.select("text").mapInArrow(_seeds, "name long, n long"), "name"), "name")

@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-from care_measures.llm.words import HashTable, Words, missing, separators
+from care_measures.llm.words import HashTable, Words, held, missing, separators
 
 #: Words that a Python worker remembers; then it starts anew, so memory is bounded.
 MEMORY_WORDS = 1_500_000
@@ -121,11 +121,6 @@ class WordEncoder:
         return out
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """This Python worker's encoder for a file; it outlives a task."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return held(f"encoder {path}", lambda: WordEncoder(path))

@@ -237,7 +237,7 @@ def _scores(terms: list[tuple[str, bool, float]], weights: np.ndarray):
     schema, key = pa.schema([(ROW, pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64()), ("n_finds", pa.int64())]), uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = held("toxicity", key, lambda: Scorer(terms))
+        scorer = held(key, lambda: Scorer(terms))
         for batch in batches:
             for first, texts in blocks(batch):
                 part, rows = batch.slice(first, len(texts)), scorer.features(texts)

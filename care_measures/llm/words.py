@@ -47,7 +47,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def blocks(batch: pa.RecordBatch, column: str = "text", size: int = 2_000_000) -> Iterator[tuple[int, list[bytes]]]:
+def blocks(batch: pa.RecordBatch, column: str = "text", size: int = 500_000) -> Iterator[tuple[int, list[bytes]]]:
     """The texts of a batch as UTF-8 in runs of about size bytes, with the place of the first: never a part of a text."""
     texts, block, first, held = batch[column].cast(pa.binary()).to_pylist(), [], 0, 0
     for i, t in enumerate(texts):
@@ -147,8 +147,16 @@ def missing(table: HashTable, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 _held: dict = {}
 
 
-def held(kind: str, key: str, make):
-    """What make() gives, kept by this Python worker from task to task until it is asked for with another key."""
-    if _held.get(kind, (None,))[0] != key:
-        _held[kind] = key, make()
-    return _held[kind][1]
+def held(key: str, make):
+    """What make() gives, kept by this Python worker from task to task until it is asked for with another key: one thing at a
+    time, so that what one operator keeps is not there while the next one works."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def forget() -> None:
+    """Lets go of what this worker keeps for an operator that is done, and of memory that Arrow has freed."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()

@@ -9,22 +9,27 @@ from care_measures.llm import common, decontamination, exact_dedup, language_id,
 
 def reject_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without text or letters, of which no language can be told, go."""
-    found = language_id.identify(docs, *language_id.learn(language_id.train_rows(docs)))
+    network, languages = language_id.learn(language_id.train_rows(docs))
+    docs = common.numbered(docs)
+    found = language_id.identify(docs, network, languages)
     return common.keep_rows(docs, found.filter(F.col("lang_pred") != language_id.UNKNOWN))
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest doc_id stays."""
+    docs = common.numbered(docs)
     return common.keep_rows(docs, exact_dedup.exact_dedup(docs).filter("kept"))
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    docs = common.numbered(docs)
     return common.keep_rows(docs, near_dedup.near_dedup(docs).filter("kept"))
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with five words or more in a hundred inside benchmark passages go."""
+    docs = common.numbered(docs)
     found = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return common.keep_rows(docs, found.filter(~decontamination.contaminated()))
 

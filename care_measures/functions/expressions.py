@@ -8,6 +8,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, functions as F
 
+from .search import count_up_to
+
 PLACEHOLDERS = ("", ".", "..", "...")
 
 
@@ -100,23 +102,22 @@ def leading_score(col: Column | str) -> Column:
 def business_day_diff(d1: Column | str, d2: Column | str, holidays: Iterable[date] = ()) -> Column:
     """Monday-to-Friday days in (d1, d2], negative when d2 is earlier, NULL on NULL.
 
-    Closed form: with f(d) the working days up to d since a fixed Monday, f(d2) - f(d1).
+    Closed form: with f(d) the working days up to d since a fixed Monday, f(d2) - f(d1). Holidays
+    on such days are a sorted array; those up to d are counted by binary search, twice a row
+    however long the calendar is.
     """
     d1, d2 = _c(d1), _c(d2)
 
     def upto(d: Column) -> Column:
         n = F.unix_date(d.cast("date")) + F.lit(3)
         whole = F.floor(n / F.lit(7)).cast("int") * F.lit(5)
-        return whole + F.least(F.pmod(n, F.lit(7)) + F.lit(1), F.lit(5))
-
-    diff = upto(d2) - upto(d1)
-    off = [h for h in holidays if h.weekday() < 5]
-    if off:
-        days = F.array(*[F.lit(h) for h in off])
-        lo, hi = F.least(d1.cast("date"), d2.cast("date")), F.greatest(d1.cast("date"), d2.cast("date"))
-        hit = F.size(F.filter(days, lambda h: (h > lo) & (h <= hi)))
-        diff = diff - F.when(d1 <= d2, hit).otherwise(-hit)
-    return diff.cast("int")
+        working = whole + F.least(F.pmod(n, F.lit(7)) + F.lit(1), F.lit(5))
+        return working - count_up_to(calendar, F.unix_date(d.cast("date"))) if off else working
+
+    # Day numbers as one text literal: the plan holds a single value, not a literal for each day.
+    off = sorted({(h - date(1970, 1, 1)).days for h in holidays if h.weekday() < 5})
+    calendar = F.split(F.lit(",".join(map(str, off))), ",").cast("array<int>")
+    return (upto(d2) - upto(d1)).cast("int")
 
 
 def minute_diff(a: Column | str, b: Column | str) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .expressions import ci, is_any, like_any
+from .search import count_up_to
 
 
 @dataclass(frozen=True)
@@ -15,8 +16,9 @@ class ValueSet:
     """Codes given by exact text, LIKE patterns and inclusive text ranges.
 
     Ranges compare text, so 'Z37.0' lies beyond the range ('Z30', 'Z37'). All comparison
-    ignores case and trailing blanks. ``table`` names codes held in a DataFrame with a
-    ``code`` column, for sets too long to write down.
+    ignores case and trailing blanks. ``table`` names codes held in a DataFrame, for sets too
+    long to write down: a ``code`` column and, where not all are exact codes, ``kind`` ('exact'
+    or NULL, 'range' up to ``code_to``, or 'pattern').
     """
 
     exact: tuple[str, ...] = ()
@@ -45,10 +47,46 @@ class ValueSet:
         hit = F.coalesce(self.matches(col), F.lit(False))
         if self.table is None:
             return df.withColumn(name, hit)
-        codes = self.table.select(ci("code").alias("_code"), F.lit(True).alias("_listed")).distinct()
-        return (df.withColumn("_key", ci(col)).join(codes, F.col("_key") == F.col("_code"), "left")
-                .withColumn(name, hit | F.col("_listed").isNotNull())
-                .drop("_key", "_code", "_listed"))
+        kinds = "kind" in self.table.columns
+        exact = self.table.where("kind IS NULL OR kind = 'exact'") if kinds else self.table
+        codes = exact.select(ci("code").alias("_code"), F.lit(True).alias("_listed")).distinct()
+        marked = df.withColumn("_key", ci(col)).join(codes, F.col("_key") == F.col("_code"), "left")
+        hit = hit | F.col("_listed").isNotNull()
+        if not kinds:
+            return marked.withColumn(name, hit).drop("_key", "_code", "_listed")
+        index = code_index(self.table)
+        marked = marked.withColumns({"_index": index.select(F.struct("starts", "ends", "wild")).scalar(), "_key": F.upper("_key")})
+        place = count_up_to(F.col("_index.starts"), F.col("_key"))
+        within = F.get(F.col("_index.ends"), place - 1) >= F.col("_key")
+        wild = F.exists("_index.wild", lambda p: F.like(F.col("_key"), p))
+        return marked.withColumn(name, hit | F.coalesce(within, F.lit(False)) | F.coalesce(wild, F.lit(False))).drop(
+            "_key", "_code", "_listed", "_index")
+
+
+#: Sorts after whatever follows a prefix.
+_LAST = "\U0010FFFF"
+
+
+def code_index(table: DataFrame) -> DataFrame:
+    """One row: the ranges and prefixes of a stored code table as sorted intervals of text, and its other patterns.
+
+    ``starts`` are the intervals' first texts in order, ``ends`` the furthest text that any interval up to there
+    reaches; a code is listed if it is not beyond the end that belongs to the last start before it. A pattern whose
+    only wildcard is a last '%' is a prefix, hence an interval; others stay patterns.
+    """
+    code = F.upper(ci("code"))
+    prefix = (F.col("kind") == "pattern") & F.rtrim("code").rlike("^[^%_]*%$")
+    cut = F.expr("substring(_code, 1, char_length(_code) - 1)")
+    rules = table.select(code.alias("_code"), F.upper(ci("code_to")).alias("_to"), "kind", prefix.alias("_prefix"))
+    spans = rules.select(
+        F.when(F.col("kind") == "range", F.col("_code")).when(F.col("_prefix"), cut).alias("low"),
+        F.when(F.col("kind") == "range", F.col("_to")).when(F.col("_prefix"), F.concat(cut, F.lit(_LAST))).alias("high"),
+        F.when((F.col("kind") == "pattern") & ~F.col("_prefix"), F.col("_code")).alias("wild"))
+    furthest = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = spans.withColumn("furthest", F.max("high").over(furthest))
+    listed = F.sort_array(F.collect_list(F.when(F.col("low").isNotNull(), F.struct("low", "furthest"))))
+    return ordered.agg(listed.alias("listed"), F.collect_set("wild").alias("wild")).select(
+        F.col("listed.low").alias("starts"), F.col("listed.furthest").alias("ends"), "wild")
 
 
 # ---------------------------------------------------------------------------------------

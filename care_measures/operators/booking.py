@@ -17,49 +17,30 @@ def next_booking(left: DataFrame, right: DataFrame, keys: Sequence[str], *, day:
     ``booked_day`` it must also have been made on or after the left row's day. First is the
     smallest by ``order``, then by ``payload``.
 
-    A right row serves every left day up to ``min(booked_day, day - 1)``: one number, so the
-    two-sided condition becomes a running minimum over days. Rows of the same day are found
-    by a running minimum over the day's minutes. Each side is reduced to one row per key and
-    day (or minute) first, so no pairs of bookings are formed and the window of a key is
-    bounded by the calendar.
+    Places on the axis (day, minute) are compared. A right row that was booked on its own day or
+    later serves every place before its own; one booked earlier serves all up to the end of the
+    day it was booked on; one without a booking day none. So each right row serves what lies up
+    to a single place, and the two-sided condition is a running minimum from the latest place
+    down. Both sides are reduced to one row per key and place by one partial aggregate and swept
+    in one window, so no pairs of bookings are formed and the window of a key is bounded by
+    the calendar's minutes.
     """
+    place = lambda d, m: F.struct(d.alias("day"), m.cast("int").alias("minute"))
+    own = place(F.col(day), F.col(minute) - 1)
+    serves = own if booked_day is None else F.when(
+        F.col(booked_day) >= F.col(day), own).when(F.col(booked_day).isNotNull(), place(F.col(booked_day), F.lit(2**31 - 1)))
     best = F.struct(*order, *payload)
-    r = right.select(*keys, F.col(day).alias("_day"), F.col(minute).alias("_minute"),
-                     *([F.col(booked_day).alias("_booked")] if booked_day else []), best.alias("_best"))
-    last_day = F.date_sub("_day", 1)
-    later = r.select(*keys, (F.least("_booked", last_day) if booked_day else last_day).alias("_at"),
-                     "_best")
-    same = (r.where(F.col("_booked") >= F.col("_day")) if booked_day else r).select(
-        *keys, "_day", (F.col("_minute") - 1).alias("_at"), "_best")
-
-    probes = left.select(*keys, F.col(day).alias("_day"), F.col(minute).alias("_minute")).distinct()
-    on_day = _running_min(probes.select(*keys, F.col("_day").alias("_at")).distinct(), later, keys)
-    on_minute = _running_min(probes.select(*keys, "_day", F.col("_minute").alias("_at")), same,
-                             [*keys, "_day"])
-
-    pk = {k: f"_{k}" for k in keys}
-    on_day = on_day.withColumnsRenamed({**pk, "_at": "_probe_day", "_best": "_later"})
-    on_minute = on_minute.withColumnsRenamed({**pk, "_day": "_probe_day", "_at": "_probe_minute",
-                                              "_best": "_same"})
-    eq = [F.col(k) == F.col(f"_{k}") for k in keys]
-    on_d = [*eq, F.col(day) == F.col("_probe_day")]
-    out = left.join(on_day, on_d, "left").drop("_probe_day", *pk.values())
-    out = out.join(on_minute, [*on_d, F.col(minute) == F.col("_probe_minute")], "left")
-    found = F.least("_later", "_same")
-    return out.select(*[F.col(c) for c in left.columns],
-                      *[found[p].alias(f"next_{p}") for p in payload])
-
-
-def _running_min(probes: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Probes with the smallest ``_best`` of the facts at or after them (along ``_at``)."""
-    f = facts.groupBy(*keys, "_at").agg(F.min("_best").alias("_best"))
-    p = probes.select(*keys, "_at", F.lit(None).cast(f.schema["_best"].dataType).alias("_best"),
-                      F.lit(True).alias("_probe"))
-    w = (Window.partitionBy(*keys).orderBy(F.col("_at").desc())
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return (f.withColumn("_probe", F.lit(False)).unionByName(p)
-            .select(*keys, "_at", "_probe", F.min("_best").over(w).alias("_best"))
-            .where("_probe").drop("_probe"))
+    facts = right.select(*keys, serves.alias("_at"), best.alias("_best"), F.lit(False).alias("_probe")).where(
+        F.col("_at.day").isNotNull())
+    probes = left.select(*keys, place(F.col(day), F.col(minute)).alias("_at"),
+                         F.lit(None).cast(facts.schema["_best"].dataType).alias("_best"), F.lit(True).alias("_probe"))
+    both = facts.unionByName(probes).groupBy(*keys, "_at").agg(F.min("_best").alias("_best"), F.bool_or("_probe").alias("_probe"))
+    w = Window.partitionBy(*keys).orderBy(F.col("_at").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (both.select(*keys, "_at", "_probe", F.min("_best").over(w).alias("_best")).where("_probe")
+             .withColumnsRenamed({k: f"_{k}" for k in keys}).drop("_probe"))
+    on = [*[F.col(k) == F.col(f"_{k}") for k in keys], F.col(day) == F.col("_at.day"), F.col(minute) == F.col("_at.minute")]
+    return left.join(found, on, "left").select(*[F.col(c) for c in left.columns],
+                                               *[F.col("_best")[p].alias(f"next_{p}") for p in payload])
 
 
 def responses_wide(resp: DataFrame, key: str, question: str, answer: str,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.expressions import day
+from ..functions.search import count_up_to
 
 
 def running_last(left: DataFrame, daily: DataFrame, keys: Sequence[str], left_day: str,
@@ -54,28 +55,29 @@ def bracket_lookup(patients: DataFrame, matrix: DataFrame) -> DataFrame:
     company_id, family_size, income_from, income_to, poverty_status. Sizes above a matrix's
     largest use the largest; incomes above the top bracket of a size use the top bracket;
     missing size counts as 1 and missing income as 0. Patients without a bracket drop out;
-    a company with several matrices gives a row for each.
+    a company with several matrices gives a row for each. Of brackets that share the income the greatest status counts.
 
-    The rows of a matrix's largest size are repeated up to the largest size of any matrix,
-    and patients are clamped to that: size is then an equality next to the company, and the
-    only patient-sized join is one hash join against the small matrix.
+    A matrix's brackets of a size are one row with a sorted array. A patient meets the
+    matrices of the company, is clamped to each one's own largest size, takes that size's
+    brackets by equality and finds the income by binary search: the brackets that start at or
+    below it, less those that end before it. A size of a million or thousands of brackets
+    cost no more than others, and no row is made that is not in the result.
     """
-    largest = matrix.select(F.max("family_size")).scalar()
-    per_matrix = matrix.groupBy(F.col("fee_matrix_id").alias("_m")).agg(F.max("family_size").alias("_max_size"))
-    per_size = matrix.groupBy(F.col("fee_matrix_id").alias("_i"), F.col("family_size").alias("_s")).agg(
-        F.max("income_to").alias("_max_income"))
-    sizes = F.when(F.col("family_size") == F.col("_max_size"), F.sequence("family_size", largest)).otherwise(
-        F.array("family_size"))
-    rows = (matrix.join(per_matrix, F.col("fee_matrix_id") == F.col("_m"))
-            .join(per_size, (F.col("fee_matrix_id") == F.col("_i")) & (F.col("family_size") == F.col("_s")))
-            .select(F.col("company_id").alias("_company"), F.explode(sizes).alias("_size"), "income_from",
-                    "income_to", "_max_income", "poverty_status"))
-    p = patients.withColumns({"_family": F.least(F.coalesce("family_size", F.lit(1)), largest),
-                              "_income": F.coalesce("income", F.lit(0))})
-    return p.join(
-        rows, (F.col("company_id") == F.col("_company")) & (F.col("_family") == F.col("_size"))
-        & (F.col("income_from") <= F.col("_income")) & (F.col("income_to") >= F.least("_max_income", "_income"))
-    ).select(*[p[c] for c in patients.columns], "poverty_status")
+    sizes = matrix.groupBy("fee_matrix_id", "company_id", "family_size").agg(
+        F.sort_array(F.collect_list(F.struct("income_from", "income_to", "poverty_status"))).alias("_brackets"),
+        F.max("income_to").alias("_top"))
+    matrices = sizes.groupBy(F.col("company_id").alias("_company"), F.col("fee_matrix_id").alias("_matrix")).agg(
+        F.max("family_size").alias("_largest"))
+    p = patients.join(matrices, F.col("company_id") == F.col("_company"))
+    p = p.withColumns({"_size": F.least(F.coalesce("family_size", F.lit(1)), "_largest"), "_income": F.coalesce("income", F.lit(0))})
+    sizes = sizes.select(F.col("company_id").alias("_of"), F.col("fee_matrix_id").alias("_id"), F.col("family_size").alias("_for"), "_brackets",
+                         F.col("_brackets.income_from").alias("_starts"), "_top")
+    p = p.join(sizes, (F.col("_company") == F.col("_of")) & (F.col("_matrix") == F.col("_id")) & (F.col("_size") == F.col("_for")))
+    begun = F.slice("_brackets", F.lit(1), F.greatest(F.lit(0), count_up_to(F.col("_starts"), F.col("_income"))))
+    reached = F.least("_top", "_income")
+    met = F.filter(begun, lambda b: b["income_to"] >= reached)
+    status = F.array_max(F.transform(met, lambda b: b["poverty_status"]))
+    return p.select(*[F.col(c) for c in patients.columns], status.alias("poverty_status"), F.size(met).alias("_n")).where("_n > 0").drop("_n")
 
 
 def follow_up_within(left: DataFrame, right: DataFrame, key: str, left_day: str, right_day: str,

@@ -31,6 +31,7 @@ class Lookup:
     when: Callable[[Column, Column], Column]
     keep: Keep | None = None
     prefer: Keep | None = None
+    since: date | None = None  # no earlier note counts
 
 
 def on_day(*fields: int, keep: Keep | None = None) -> Lookup:
@@ -40,7 +41,7 @@ def on_day(*fields: int, keep: Keep | None = None) -> Lookup:
 def up_to_day(*fields: int, since: date | None = None) -> Lookup:
     if since is None:
         return Lookup(fields, lambda d, visit: d <= visit)
-    return Lookup(fields, lambda d, visit: (d <= visit) & (d >= F.lit(since)))
+    return Lookup(fields, lambda d, visit: (d <= visit) & (d >= F.lit(since)), since=since)
 
 
 def in_window(*fields: int, start: date | None = None, end: date | None = None, keep: Keep | None = None,
@@ -49,7 +50,7 @@ def in_window(*fields: int, start: date | None = None, end: date | None = None,
         after = F.lit(True) if start is None else d >= F.lit(start)
         return after if end is None else after & (d <= F.lit(end))
 
-    return Lookup(fields, when, keep, prefer)
+    return Lookup(fields, when, keep, prefer, start)
 
 
 def observe(visits: DataFrame, notes: DataFrame, controls: DataFrame, lookups: Mapping[str, Lookup],
@@ -62,7 +63,7 @@ def observe(visits: DataFrame, notes: DataFrame, controls: DataFrame, lookups: M
     no pairs of visits and values are formed beyond one per value.
     """
     seen = visits.select(F.col(PATIENT).alias("_patient"), F.col(visit_day).alias("_visit_day"))
-    long = _long(notes.join(seen, F.col(PATIENT) == F.col("_patient")),
+    long = long_observations(notes.join(seen, F.col(PATIENT) == F.col("_patient")),
                  controls, {n: x.fields for n, x in lookups.items()}, start, end, "_visit_day")
     d = day("note_datetime")
     best = long.groupBy(F.col(PATIENT).alias("_patient")).agg(*[
@@ -73,7 +74,7 @@ def observe(visits: DataFrame, notes: DataFrame, controls: DataFrame, lookups: M
     return visits.join(best, F.col(PATIENT) == F.col("_patient"), "left").drop("_patient")
 
 
-def _long(notes: DataFrame, controls: DataFrame, fields: Fields, start: date | None,
+def long_observations(notes: DataFrame, controls: DataFrame, fields: Fields, start: date | None,
           end: date | None, *extra: str) -> DataFrame:
     """(patient, timestamp, note, field, value) of the wanted fields and days."""
     ids = sorted({i for f in fields.values() for i in f})
@@ -110,7 +111,7 @@ def daily_observations(notes: DataFrame, controls: DataFrame, fields: Fields,
     ``fields`` maps an output column to the field ids it accepts; ``keep`` is a test on the
     value, for all columns or per column.
     """
-    long = _long(notes, controls, fields, start, end)
+    long = long_observations(notes, controls, fields, start, end)
     best = {n: _newest(ids, keep.get(n) if isinstance(keep, Mapping) else keep, None)
             for n, ids in fields.items()}
     return (long.groupBy(PATIENT, day("note_datetime").alias("day"))
@@ -125,7 +126,7 @@ def latest_observations(notes: DataFrame, controls: DataFrame, fields: Fields,
 
     ``prefer`` ranks values of the same timestamp before the note id does.
     """
-    long = _long(notes, controls, fields, start, end)
+    long = long_observations(notes, controls, fields, start, end)
     out = long.groupBy(PATIENT).agg(*[
         _newest(ids, keep.get(n) if isinstance(keep, Mapping) else keep,
                 (prefer or {}).get(n)).alias(n) for n, ids in fields.items()])

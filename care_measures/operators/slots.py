@@ -22,12 +22,14 @@ def slot_join(facts: DataFrame, slots: Sequence[str], dim: DataFrame, key: str)
 def slot_any_match(facts: DataFrame, slots: Sequence[str], codes: DataFrame, key: str) -> DataFrame:
     """Rows of ``facts`` with at least one slot in ``codes``, each kept once.
 
-    One existence flag per slot; the code side is distinct, so no row is repeated.
+    The distinct non-NULL slots of a row are exploded under a row number and joined with the distinct codes once; a row
+    that matches several times is put together again by its number. A row without slots is never shuffled, and after
+    the join only rows that match are.
     """
-    ids = codes.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    out, hit = facts, F.lit(False)
-    for i, slot in enumerate(slots):
-        side = ids.select(F.col(key).alias(f"_code_{i}"))
-        out = out.join(side, F.col(slot) == F.col(f"_code_{i}"), "left")
-        hit = hit | F.col(f"_code_{i}").isNotNull()
-    return out.where(hit).select(*facts.columns)
+    ids = codes.select(F.col(key).alias("_code")).where("_code IS NOT NULL").distinct()
+    filled = F.array_distinct(F.array_compact(F.array(*[F.col(s) for s in slots])))
+    # Numbered in a projection of its own, below the explode.
+    numbered = facts.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_fact"), filled.alias("_slots"))
+    long = numbered.select("_row", "_fact", F.explode("_slots").alias("_slot"))
+    hits = long.join(ids, F.col("_slot") == F.col("_code")).groupBy("_row").agg(F.first("_fact").alias("_fact"))
+    return hits.select("_fact.*")

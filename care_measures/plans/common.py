@@ -10,6 +10,7 @@ from ..functions import valuesets as vs
 from ..functions.expressions import day, within
 from ..functions.periods import Period
 from ..functions.valuesets import ValueSet
+from ..operators.consents import covers, in_force
 from ..operators.filters import ids_of
 from ..operators.observations import PATIENT, Lookup, observe, up_to_day
 from ..operators.ranking import latest_per_key
@@ -53,15 +54,23 @@ def latest_visit(visits: DataFrame, providers: DataFrame, departments: DataFrame
 def look_up(src: Source, visits: DataFrame, p: Period, start: date | None = None, **lookups: Lookup) -> DataFrame:
     """Add note-field lookups and the two consents in force on the visit's day.
 
-    Consents reach back through the whole history; measures without them pass ``start``.
+    Consents reach back through the whole history; measures without them pass ``start``. Where the
+    source has a consent state up to the month, notes are read from the month on, or from the
+    earliest day that another lookup asks for, and what was answered before comes from the state.
     Apply it to the ranked visits joined with patients only, and cohort conditions to its
     result: the visits are read once to find the notes and once to be joined back, and the
     ranked visits are one shuffle both readings share.
     """
-    if start is None:
-        lookups["telehealth_consent"] = up_to_day(src.config.telehealth_consent_field)
-        lookups["telephone_consent"] = up_to_day(src.config.telephone_consent_field)
-    return observe(visits, notes(src), controls(src), lookups, p.end, start)
+    if start is not None:
+        return observe(visits, notes(src), controls(src), lookups, p.end, start)
+    others = [x.since for x in lookups.values()]
+    fields = {"telehealth_consent": src.config.telehealth_consent_field,
+              "telephone_consent": src.config.telephone_consent_field}
+    lookups |= {n: up_to_day(f) for n, f in fields.items()}
+    if src.consents is None or not covers(src.consents[1], p.start):
+        return observe(visits, notes(src), controls(src), lookups, p.end)
+    since = None if None in others else min([p.start, *others])
+    return in_force(observe(visits, notes(src), controls(src), lookups, p.end, since), src.consents[0], fields)
 
 
 def diagnosed(src: Source, dim: DataFrame, codes: ValueSet | None = None, start: date | None = None,

@@ -10,7 +10,8 @@ from ..functions import valuesets as vs
 from ..functions.expressions import PLACEHOLDERS, ci, day, flag, is_any, like, or_blank, us_date, within, yes_no
 from ..functions.periods import Period
 from ..functions.valuesets import ValueSet
-from ..operators.filters import cohort, ids_of
+from ..operators.evidence import code_mask, evidence, has
+from ..operators.filters import cohort, ids_of, of_cohort
 from ..operators.lookup import bracket_lookup
 from ..operators.observations import PATIENT, daily_observations, observations_asof, observations_exact
 from ..operators.ranking import latest_per_key
@@ -18,16 +19,19 @@ from ..operators.report import report
 from ..operators.slots import slot_join
 from ..sources import views
 from ..sources.tables import Source
-from .common import DX_SLOTS, controls, diagnosed, notes
+from .common import DX_SLOTS, controls, notes
 
 CLINICIANS = ("MD", "PA", "MS PA-C", "NP", "DO")
 
 
-def _care_flags(src: Source, start: date, end: date, reproductive_health: ValueSet) -> DataFrame:
-    """Per patient: any charge for a termination, for contraception, for reproductive health.
+PLANNED, CARED, ENDED = range(3)
 
-    One pass over the charges for all three. A charge needs a known procedure and a known
-    diagnosis, one of the two listed; terminations count active codes only.
+
+def _care(src: Source, start: date, end: date, reproductive_health: ValueSet, members: DataFrame) -> DataFrame:
+    """(patient_id, mask) of the members: any charge for contraception, for reproductive health, for a termination.
+
+    A charge needs a known procedure and a known diagnosis, one of the two listed; terminations
+    count active codes only. Charges without a patient are a row of their own.
     """
     lists = {"planned": (vs.CONTRACEPTION_PROCEDURES, ValueSet(exact=vs.CONTRACEPTION_DIAGNOSES)),
              "cared": (vs.REPRODUCTIVE_HEALTH_PROCEDURES, reproductive_health),
@@ -37,29 +41,30 @@ def _care_flags(src: Source, start: date, end: date, reproductive_health: ValueS
         px = ValueSet(exact=procedures).mark(px, "procedure_code", f"_p_{name}")
         dx = diagnoses.mark(dx, "icd9", f"_d_{name}")
     active = ci("active_yn") == "y"
-    px = px.select("procedure_id", active.alias("_p_active"), *[f"_p_{n}" for n in lists])
-    dx = dx.select("diagnosis_id", (active & (F.col("company_id") == src.config.company_id)).alias("_d_active"),
-                   *[f"_d_{n}" for n in lists])
-    ch = src.table("charge_history").where(within("post_fromdate", start, end)).select(
-        "patient_id", "procedure_id", *DX_SLOTS)
-    ch = slot_join(ch.join(px, "procedure_id"), DX_SLOTS, dx, "diagnosis_id")
-    hit = {n: F.col(f"_p_{n}") | F.col(f"_d_{n}") for n in lists}
-    hit["ended"] = hit["ended"] & F.col("_p_active") & F.col("_d_active")
-    return ch.groupBy("patient_id").agg(*[F.bool_or(F.coalesce(c, F.lit(False))).alias(n) for n, c in hit.items()])
-
-
-def _charged(src: Source, start: date, end: date, procedures: DataFrame, dx: DataFrame, proc_codes: ValueSet,
-             dx_codes: ValueSet) -> DataFrame:
-    """Ids of patients with a charge whose procedure or any diagnosis is in its set.
-
-    As written the charge must have a known procedure *and* a known diagnosis for either to
-    count. Codes are marked on the dimensions; the charge only carries the two flags.
+    # Bits 0 to 2 are the lists, bit 3 an active code.
+    px = code_mask(px, "procedure_id", [*[f"_p_{n}" for n in lists], active], "_p")
+    dx = code_mask(dx, "diagnosis_id", [*[f"_d_{n}" for n in lists], active & (F.col("company_id") == src.config.company_id)], "_d")
+    both_active = has(3, F.col("_p").bitwiseAND(F.col("_d")))
+    listed = F.col("_p").bitwiseOR(F.col("_d")).bitwiseAND(F.when(both_active, 7).otherwise(3))
+    ch = src.table("charge_history").where(within("post_fromdate", start, end))
+    return evidence(ch, "patient_id", DX_SLOTS, dx, "diagnosis_id", listed, procedures=px, procedure="procedure_id",
+                    members=members, member=PATIENT, keep_null=True)
+
+
+def _planning(src: Source, start: date, end: date, members: DataFrame) -> DataFrame:
+    """(patient_id, mask) of the members: a charge for a family-planning visit, and one for a sterilisation or menopause.
+
+    As written the first needs a known procedure *and* a known diagnosis for either to count,
+    the second a diagnosis only. Charges without a patient are a row of their own.
     """
+    px = code_mask(views.procedures(src), "procedure_id", [
+        ValueSet(exact=vs.FAMILY_PLANNING_VISIT_PROCEDURES).matches("procedure_code")], "_p")
+    dx = code_mask(views.diagnoses(src), "diagnosis_id", [
+        ValueSet(exact=codes).matches("icd9") for codes in (vs.CONTRACEPTION_DIAGNOSES, vs.STERILISED_OR_MENOPAUSAL)], "_d")
+    found = F.when(F.col("_p").isNotNull(), F.col("_p").bitwiseOR(F.col("_d"))).otherwise(F.col("_d").bitwiseAND(F.lit(2)))
     ch = src.table("charge_history").where(within("post_fromdate", start, end))
-    p = proc_codes.mark(procedures, "procedure_code", "_proc").select("procedure_id", "_proc")
-    d = dx_codes.mark(dx, "icd9", "_dx").select("diagnosis_id", "_dx")
-    ch = ch.join(p, "procedure_id").select("patient_id", "_proc", *DX_SLOTS)
-    return ids_of(slot_join(ch, DX_SLOTS, d, "diagnosis_id").where(F.col("_proc") | F.col("_dx")), "patient_id")
+    return evidence(ch, "patient_id", DX_SLOTS, dx, "diagnosis_id", found, procedures=px, procedure="procedure_id",
+                    members=members, member=PATIENT, keep_null=True)
 
 
 def _kept(src: Source, p: Period) -> DataFrame:
@@ -73,27 +78,27 @@ def _kept(src: Source, p: Period) -> DataFrame:
                     "degree"))
 
 
-def _coverage(src: Source, start: date, end: date) -> DataFrame:
-    """Description of the financial class on each patient's newest charge."""
+def _coverage(src: Source, start: date, end: date, members: DataFrame) -> DataFrame:
+    """Description of the financial class on each member's newest charge."""
     slots = ("financial_class_id_1", "financial_class_id_2", "financial_class_id_3")
-    ch = src.table("charge_history").where(within("post_fromdate", start, end))
+    ch = of_cohort(src.table("charge_history").where(within("post_fromdate", start, end)), members, "patient_id", PATIENT)
     ch = slot_join(ch.select("patient_id", "post_fromdate", *slots), slots, src.table("financial_class"),
                    "financial_class_id")
     return latest_per_key(ch.select("patient_id", "post_fromdate", F.col("description").alias("coverage")),
                           ["patient_id"], ["post_fromdate"], ["coverage"]).drop("post_fromdate")
 
 
-def _language(src: Source) -> DataFrame:
+def _language(src: Source, members: DataFrame) -> DataFrame:
     """Whether a translator is needed; the greatest text where codes disagree."""
-    codes = src.table("patient_shortcode").where(like("code", "%TRANSLAT%"))
+    codes = of_cohort(src.table("patient_shortcode").where(like("code", "%TRANSLAT%")), members, "patient_id", PATIENT)
     text = (F.when(like("code", "YES TRANSLAT%"), "TRANSLATION NEEDED - YES")
             .when(like("code", "NO TRANSLAT%"), "TRANSLATION NOT NEEDED - NO"))
     return codes.groupBy("patient_id").agg(F.max(text).alias("language"))
 
 
-def _poverty(src: Source) -> DataFrame:
-    """Poverty status of each patient's newest version that falls in a bracket."""
-    p = src.table("patient").where((F.col("company_id") == src.config.company_id) & (ci("active_yn") == "y"))
+def _poverty(src: Source, members: DataFrame) -> DataFrame:
+    """Poverty status of each member's newest version that falls in a bracket."""
+    p = of_cohort(src.table("patient"), members, "patient_id", PATIENT).where((F.col("company_id") == src.config.company_id) & (ci("active_yn") == "y"))
     found = bracket_lookup(p.select("patient_id", "company_id", "family_size", "income", "modified_date"),
                            src.table("fee_matrix_detail"))
     return latest_per_key(found, ["patient_id"], ["modified_date"], ["poverty_status"]).select(
@@ -115,24 +120,25 @@ def family_planning(src: Source, as_of: date, reproductive_health: ValueSet | No
     if reproductive_health is None:
         reproductive_health = src.config.value_sets.get("reproductive_health") or ValueSet(
             table=src.table("value_set_code").where("set_name = 'reproductive_health'"))
-    care = _care_flags(src, since, p.end, reproductive_health)
-
     sex, age = ci("sex"), F.col("age")
     people = views.registered_patients(src, as_of).where(
         ((sex == "m") & age.between(12, 60)) | ((sex == "f") & age.between(12, 55)))
-    people = people.join(care.select(F.col("patient_id").alias("_id"), "planned", "cared", "ended"),
-                         F.col("patient_id") == F.col("_id")).where("planned AND cared AND NOT ended").drop("_id")
-    # As written, a termination charge without a patient would leave nothing.
-    people = people.where(~care.where("patient_id IS NULL AND ended").exists())
     k = _kept(src, p).select(F.col(PATIENT), "dos", "short_name", "degree").distinct()
     v = k.join(people.withColumnRenamed("patient_id", PATIENT), PATIENT)
+    care = _care(src, since, p.end, reproductive_health, v)
+    listed = care.where(has(PLANNED) & has(CARED) & ~has(ENDED)).select(F.col("patient_id").alias("_id"))
+    v = v.join(listed, F.col(PATIENT) == F.col("_id"), "left_semi")
+    # As written, a termination charge without a patient would leave nothing.
+    v = v.where(~care.where(F.col("patient_id").isNull() & has(ENDED)).exists())
+    members = v.select(PATIENT)
     for key, name in (("employment_status_id", "employment"), ("race_id", "race"), ("ethnicity_id", "ethnicity")):
         v = v.join(_listed(src, key, name), key, "left")
-    for side in (_coverage(src, since, p.end), _language(src), _poverty(src)):
+    for side in (_coverage(src, since, p.end, members), _language(src, members), _poverty(src, members)):
         v = v.join(side.withColumnRenamed("patient_id", PATIENT), PATIENT, "left")
 
     year = p.start.year
     with_template = notes(src).join(src.table("template").select("template_id"), "template_id", "left_semi")
+    with_template = of_cohort(with_template, members, PATIENT)
     methods = daily_observations(with_template, controls(src), {"method": (7220,)}, date(year, 1, 1),
                                  date(year, 12, 31), keep=lambda m: F.trim(m) != "")
     v = observations_asof(v, methods, "dos")
@@ -151,18 +157,17 @@ def missed_opportunity(src: Source, as_of: date) -> DataFrame:
     """Family-planning patients' last kept visit: was a family-planning note written this year?"""
     p = Period.previous_month(as_of)
     since = p.lookback(years=1)
-    dx = views.diagnoses(src)
-    charged = _charged(src, since, p.end, views.procedures(src), dx, ValueSet(
-        exact=vs.FAMILY_PLANNING_VISIT_PROCEDURES), ValueSet(exact=vs.CONTRACEPTION_DIAGNOSES))
-    ended = diagnosed(src, dx, ValueSet(exact=vs.STERILISED_OR_MENOPAUSAL), since, p.end)
     v = latest_per_key(_kept(src, p), [PATIENT], ["dos"], ["short_name", "provider_name", "short_desc"])
     people = views.registered_patients(src, as_of).where(F.col("age").between(12, 50))
-    v = cohort(v.join(people.withColumnRenamed("patient_id", PATIENT), PATIENT), PATIENT, include=[charged],
-               exclude=[ended])
+    v = v.join(people.withColumnRenamed("patient_id", PATIENT), PATIENT)
+    charged = _planning(src, since, p.end, v)
+    v = cohort(v, PATIENT, include=[charged.where(has(0)).select(F.col("patient_id").alias("id"))],
+               exclude=[charged.where(has(1)).select(F.col("patient_id").alias("id"))])
+    members = v.select(PATIENT)
 
     def written(match: Column) -> DataFrame:
         forms = src.table("template").where(match).select("template_id")
-        return notes(src).join(forms, "template_id", "left_semi")
+        return of_cohort(notes(src).join(forms, "template_id", "left_semi"), members, PATIENT)
 
     title = like("template_name", "%title%")
     filled = lambda m: ~F.trim(F.coalesce(m, F.lit(""))).isin(list(PLACEHOLDERS))

@@ -118,7 +118,7 @@ def cycle_time(src: Source, as_of: date) -> DataFrame:
     appts = src.table("patientappt").where(within("booking_date", p.start, p.end) & (ci("status") == "appt kept"))
     v = (appts.join(types, "visit_type_id").join(views.providers(src).select("doctorid", "provider_name"), "doctorid")
          .join(views.departments(src).select("departmentid", "short_name"), "departmentid"))
-    log = of_cohort(src.table("appt_tracking"), v, "bookings_id", "appointmentid")
+    log = of_cohort(src.table("appt_tracking"), appts, "bookings_id", "appointmentid")
     marks = milestones(log, "bookings_id", "tracking_type", "start_datetime",
                        "appt_tracking_id", MILESTONES, ci("active_yn") == "y")
     v = v.join(marks, v["appointmentid"] == marks["bookings_id"], "left")

@@ -11,7 +11,8 @@ from ..functions.expressions import (ci, day, flag, is_any, leading_score, like,
                                      try_date, try_int, us_date, within, yes_no)
 from ..functions.periods import Period
 from ..functions.valuesets import ValueSet
-from ..operators.filters import cohort, ids_of
+from ..operators.evidence import code_mask, evidence, has
+from ..operators.filters import cohort, ids_of, of_cohort
 from ..operators.labs import lab_results
 from ..operators.observations import PATIENT, in_window, latest_observations, up_to_day
 from ..operators.report import report
@@ -22,8 +23,9 @@ from .common import DX_SLOTS, controls, diagnosed, latest_visit, look_up, one_ro
 
 
 def _labs(src: Source, start: date, end: date, *, hist: str, values: bool = True,
-          items: DataFrame | None = None, sets: DataFrame | None = None) -> DataFrame:
-    req = src.table("lab_req").where(within("obr_obs_datetime", start, end))
+          items: DataFrame | None = None, sets: DataFrame | None = None, seen: DataFrame) -> DataFrame:
+    """Lab results of the patients seen: requests are cut down to them before sets, items and values are joined."""
+    req = of_cohort(src.table("lab_req").where(within("obr_obs_datetime", start, end)), seen, PATIENT)
     return lab_results(req, src.table("lab_set") if sets is None else sets,
                        src.table("lab_item") if items is None else items,
                        src.table("lab_value") if values else None, hist=hist)
@@ -37,11 +39,6 @@ def cervical_cancer(src: Source, as_of: date) -> DataFrame:
     """
     p = Period.previous_month(as_of)
     since = p.lookback(years=3)
-    pap = _labs(src, since, p.end, hist="ignore", values=False,
-                items=src.table("lab_item").where(like_any("result_code", vs.PAP_RESULT_PATTERNS)),
-                sets=src.table("lab_set").where(like_any("obr_order_code", vs.PAP_ORDER_PATTERNS)))
-    pap = pap.groupBy(PATIENT).agg(F.max("obr_obs_datetime").alias("last_pap"))
-
     booked = (src.table("patientappt")
               .where((F.col("visit_type_id") != 58849498) & within("booking_date", p.start, p.end))
               .select(F.col(PATIENT).alias("_p"), day("booking_date").alias("_d")).distinct())
@@ -60,7 +57,12 @@ def cervical_cancer(src: Source, as_of: date) -> DataFrame:
     cut = ([ids_of(slot_join(ch, DX_SLOTS, dx.where(hyst).select("diagnosis_id"), "diagnosis_id"),
                    "patient_id")] if src.config.exclude_hysterectomy else [])
     women = views.patients(src, as_of).where(F.col("age").between(21, 64) & (ci("sex") == "f"))
-    v = cohort(look_up(src, v.join(women, PATIENT), p), PATIENT, include=[ids_of(others, "patient_id")], exclude=cut)
+    v = v.join(women, PATIENT)
+    pap = _labs(src, since, p.end, hist="ignore", values=False, seen=v,
+                items=src.table("lab_item").where(like_any("result_code", vs.PAP_RESULT_PATTERNS)),
+                sets=src.table("lab_set").where(like_any("obr_order_code", vs.PAP_ORDER_PATTERNS)))
+    pap = pap.groupBy(PATIENT).agg(F.max("obr_obs_datetime").alias("last_pap"))
+    v = cohort(look_up(src, v, p), PATIENT, include=[ids_of(others, "patient_id")], exclude=cut)
     v = v.join(pap, PATIENT, "left")
     return report(v, {
         "Provider": "provider_name", "Clinic": or_blank("short_name"), "Patient ID": "patientid",
@@ -79,25 +81,29 @@ def chlamydia(src: Source, as_of: date) -> DataFrame:
     dx = dx.where((icd9 & ValueSet(exact=vs.SEXUALLY_ACTIVE_ICD9).matches("icd9"))
                   | (icd10 & ValueSet(patterns=vs.SEXUALLY_ACTIVE_ICD10_PATTERNS,
                                       ranges=vs.SEXUALLY_ACTIVE_ICD10_RANGES).matches("icd9")))
-    by_dx = diagnosed(src, dx)
-
-    # A charge counts by its procedure, or because its patient was given a listed drug.
-    charges = src.table("charge_history").where(within("post_fromdate", since, p.end))
-    codes = ValueSet(exact=vs.SEXUALLY_ACTIVE_PROCEDURES).filter(views.procedures(src), "procedure_code")
-    by_procedure = ids_of(charges.join(codes.select("procedure_id"), "procedure_id"), "patient_id")
-    drugs = ids_of(src.table("patient_drug").where(
-        within("start_date", since, p.end) & like_any("drug_name", dict.fromkeys(vs.CONTRACEPTIVE_DRUGS))), PATIENT)
-    by_drug = cohort(ids_of(charges, "patient_id"), "id", include=[drugs])
-    active = by_dx.union(by_procedure).union(by_drug)
+    seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
+    v = latest_visit(seen, views.medical_providers(src), views.departments(src))
+    v = v.join(views.patients(src, as_of).where(F.col("age").between(13, 24) & (ci("sex") == "f")), PATIENT)
+
+    # A charge counts by its diagnosis, however old; within the year by its procedure, or because its patient was given
+    # a listed drug. One pass over the charges of the women seen tells all three.
+    in_year = within("post_fromdate", since, p.end)
+    codes = ValueSet(exact=vs.SEXUALLY_ACTIVE_PROCEDURES).matches("procedure_code")
+    charged = evidence(
+        src.table("charge_history"), "patient_id", DX_SLOTS, code_mask(dx, "diagnosis_id", [F.lit(True)], "_d"), "diagnosis_id",
+        F.coalesce("_d", F.lit(0)).bitwiseOR(F.when(in_year, F.coalesce("_p", F.lit(0)).bitwiseOR(F.lit(4))).otherwise(0)),
+        procedures=code_mask(views.procedures(src).where(codes), "procedure_id", [F.lit(False), F.lit(True)], "_p"),
+        procedure="procedure_id", every_fact=True, members=v, member=PATIENT)
+    drugs = src.table("patient_drug").where(
+        within("start_date", since, p.end) & like_any("drug_name", dict.fromkeys(vs.CONTRACEPTIVE_DRUGS)))
+    given = ids_of(of_cohort(drugs, v, PATIENT), PATIENT).select("id", F.lit(True).alias("given"))
+    active = charged.join(given, F.col("patient_id") == F.col("id"), "left").where(
+        has(0) | has(1) | has(2) & F.coalesce("given", F.lit(False))).select(F.col("patient_id").alias("id"))
 
     tests = _labs(src, since, p.end, hist="match", items=src.table("lab_item").where(
-        is_any("result_desc", vs.CHLAMYDIA_RESULTS))).where("result_status IS NOT NULL")
+        is_any("result_desc", vs.CHLAMYDIA_RESULTS)), seen=v).where("result_status IS NOT NULL")
     tests = tests.groupBy(PATIENT).agg(F.max("obr_obs_datetime").alias("tested"))
-
-    seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
-    v = latest_visit(seen, views.medical_providers(src), views.departments(src))
-    women = views.patients(src, as_of).where(F.col("age").between(13, 24) & (ci("sex") == "f"))
-    v = cohort(look_up(src, v.join(women, PATIENT), p), PATIENT, include=[active]).join(tests, PATIENT, "left")
+    v = cohort(look_up(src, v, p), PATIENT, include=[active]).join(tests, PATIENT, "left")
     return report(v, {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid",
         "Date Of Birth": us_date("birthdate"), "Age": "age", "Last Visit Date": us_date("note_datetime"),
@@ -115,8 +121,9 @@ def depression(src: Source, as_of: date) -> DataFrame:
 
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
+    people = v.join(views.patients(src, as_of).where("age >= 12"), PATIENT)
     v = look_up(
-        src, v.join(views.patients(src, as_of).where("age >= 12"), PATIENT), p, recent=in_window(3696, 15095, 15096, 15097, 15423, start=p.start),
+        src, people, p, recent=in_window(3696, 15095, 15096, 15097, 15423, start=p.start),
         phq9=in_window(15095, 15096, 15097, 3696, 15958, start=since, keep=number, prefer=try_int),
         phq2=in_window(15423, 15957, 15815, 15816, start=since, keep=filled),
         screen1=in_window(15593), screen2=in_window(14765))
@@ -124,7 +131,7 @@ def depression(src: Source, as_of: date) -> DataFrame:
         diagnosed(src, views.diagnoses(src), ValueSet(ranges=vs.DEPRESSION_RANGE), since, p.end)])
     v = v.withColumn("phq2", leading_score("phq2"))
     # The follow-up plan counts only from medical notes.
-    plan = latest_observations(views.medical_notes(src, since, p.end), controls(src), {"plan": (15143,)},
+    plan = latest_observations(views.medical_notes(src, since, p.end, members=people), controls(src), {"plan": (15143,)},
                                since, p.end, keep=number)
     v = v.join(plan.select(PATIENT, "plan"), PATIENT, "left")
 
@@ -158,16 +165,16 @@ def colorectal_cancer(src: Source, as_of: date) -> DataFrame:
     p = Period.previous_month(as_of)
     fit = is_any("result_code", vs.FIT_RESULTS)
     office = like("result_code", "RESULT_1") & like("result_desc", "Occult%")
-    lab = _labs(src, p.lookback(years=2), p.end, hist="match", items=src.table("lab_item").where(fit | office))
-    lab = lab.groupBy(PATIENT).agg(F.max(F.when(fit, F.col("obr_obs_datetime"))).alias("fit"),
-                                   F.max(F.when(office, F.col("obr_obs_datetime"))).alias("office"))
-    scan = (src.table("document").where(like("file_name", "%FOBT%"))
-            .groupBy(PATIENT).agg(F.max("doc_date").alias("scanned")))
-
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
     people = one_row(views.patients(src, as_of, unique=False).where(F.col("age").between(45, 75)))
-    v = look_up(src, v.join(people, PATIENT), p).join(lab, PATIENT, "left").join(scan, PATIENT, "left")
+    v = v.join(people, PATIENT)
+    lab = _labs(src, p.lookback(years=2), p.end, hist="match", items=src.table("lab_item").where(fit | office), seen=v)
+    lab = lab.groupBy(PATIENT).agg(F.max(F.when(fit, F.col("obr_obs_datetime"))).alias("fit"),
+                                   F.max(F.when(office, F.col("obr_obs_datetime"))).alias("office"))
+    scan = (of_cohort(src.table("document").where(like("file_name", "%FOBT%")), v, PATIENT)
+            .groupBy(PATIENT).agg(F.max("doc_date").alias("scanned")))
+    v = look_up(src, v, p).join(lab, PATIENT, "left").join(scan, PATIENT, "left")
     return report(v, {
         "Provider": "provider_name", "Clinic": "short_name", "Patient ID": "patientid", "Gender": "sex",
         "DOB": us_date("birthdate"), "Age": "age", "DOS": us_date("note_datetime"),
@@ -185,19 +192,19 @@ def diabetic_a1c(src: Source, as_of: date) -> DataFrame:
     p = Period.previous_month(as_of)
     since = p.lookback(years=1)
     number = lambda v: v.try_cast("decimal(10,2)").isNotNull() & (v != "")
-    lab = _labs(src, since, p.end, hist="zero", items=src.table("lab_item").where(
-        is_any("result_code", vs.A1C_RESULTS))).where(number(F.col("result_value")))
-    lab = lab.groupBy(PATIENT).agg(
-        F.max(F.struct("obr_obs_datetime", "lab_result_item_id", "result_value")).alias("lab"))
-    lab = lab.select(PATIENT, F.col("lab.result_value").alias("lab"),
-                     day(F.col("lab.obr_obs_datetime")).alias("lab_day"))
-
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
     diabetic = diagnosed(src, views.company_diagnoses(src), ValueSet(patterns=vs.DIABETES_PATTERNS), since, p.end)
     people = views.patients(src, as_of, unique=False)
     adults = ids_of(people.where("age >= 18"), PATIENT)
-    v = look_up(src, v.join(one_row(people), PATIENT), p, note=in_window(3680, start=since, keep=number))
+    v = v.join(one_row(people), PATIENT)
+    lab = _labs(src, since, p.end, hist="zero", seen=v, items=src.table("lab_item").where(
+        is_any("result_code", vs.A1C_RESULTS))).where(number(F.col("result_value")))
+    lab = lab.groupBy(PATIENT).agg(
+        F.max(F.struct("obr_obs_datetime", "lab_result_item_id", "result_value")).alias("lab"))
+    lab = lab.select(PATIENT, F.col("lab.result_value").alias("lab"),
+                     day(F.col("lab.obr_obs_datetime")).alias("lab_day"))
+    v = look_up(src, v, p, note=in_window(3680, start=since, keep=number))
     v = cohort(v, PATIENT, include=[diabetic, adults]).join(lab, PATIENT, "left")
     a, ad, b, bd = (F.col(c) for c in ("note", "note_day", "lab", "lab_day"))
     v = v.withColumns({"result": newer_of(ad, a, bd, b), "result_day": newer_of(ad, ad, bd, bd)})

@@ -14,7 +14,6 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import ProviderRule, SiteConfig
-from ..functions.valuesets import ValueSet
 from .schemas import schema
 from .tables import Source
 
@@ -30,9 +29,16 @@ CONFIG = SiteConfig(
                     ProviderRule("Last2, First2", (2, 3, 4, 5, 6), 18)),
     valid_visit_types=(0, 1, 2, 3, 5, 8, 11),
     medical_visit_types=(0, 1, 2, 3, 5, 8, 10, 11),
-    value_sets={"reproductive_health": ValueSet(patterns=("N7%", "N8%", "A5%"))},
 )
 
+# The part of the reproductive-health diagnosis list that the derived tables have codes near. A site loads
+# its whole list as ``value_set_code`` table; the last three rows show what else such a table may hold.
+_REPRODUCTIVE_HEALTH = (
+    "B20", "Z21", "Z71.7", "A60.00", "A60.01", "A54.9", "A54.29", "A54.01", "A54.02", "E28.2", "N70.01", "N70.02",
+    "N73.0", "N72", "N76.0", "N76.1", "N76.2", "N76.3", "N80.0", "N80.1", "Z20.2", "Z30.8", "Z72.53", "Z72.51", "Z72.52",
+)
+_CODE_RULES = (("N93.0", "N93.9", "range"), ("N60.%", None, "pattern"), ("n64.5_", None, "pattern"))
+
 
 def _day(n: str) -> str:
     return f"@BASE@ + INTERVAL '1' DAY * CAST({n} AS INT)"
@@ -114,7 +120,7 @@ TABLES: dict[str, str] = {
         UNION ALL
         SELECT o_orderkey, o_custkey, CAST((o_orderkey * 7 + o_custkey) % 25 AS INT),
           CAST((o_orderkey + o_custkey) % 25 AS INT), CAST((o_orderkey + o_custkey) % 4 AS INT),
-          {_day('(o_orderkey * 37) % 529')} + {_minutes('480 + (o_orderkey * 7) % 720')},
+          {_day('(o_orderkey * 37) % 529 - CASE WHEN o_orderkey % 3 = 0 THEN 31 ELSE 0 END')} + {_minutes('480 + (o_orderkey * 7) % 720')},
           {_day('(o_orderkey * 37) % 529 - 9')}, NULL FROM {{orders}} WHERE o_orderstatus = 'P'""",
     "patient_note_control": f"""
         SELECT patient_note_id, template_field_id, CASE
@@ -182,7 +188,8 @@ TABLES: dict[str, str] = {
           CASE WHEN p_partkey % 41 = 40 THEN 'N' ELSE 'Y' END AS active_yn
         FROM {{part}} LEFT JOIN (SELECT n_nationkey AS slot, {_case('n_nationkey', [
             'E11.9', 'E10.1', 'O24.4', 'I10', 'N18.3', 'F32.1', 'F39', 'Z34.00', 'Z37', 'Z37.0', 'Z30.2',
-            'Z90.710', 'A54.01', 'Z30.011', 'O04.5', 'N95.1', 'N76.0', 'e09.9', 'Z72.51', 'V22'])} AS code
+            'Z90.710', 'A54.01', 'Z30.011', 'O04.5', 'N95.1', 'N76.0', 'e09.9', 'Z72.51', 'V22', 'N76', 'A54.010',
+            'n60.11', 'N93.8', 'N64.53'])} AS code
           FROM {{nation}}) AS codes ON p_partkey % 200 = slot""",
     "procedure": f"""
         SELECT s_suppkey AS procedure_id,
@@ -325,6 +332,10 @@ TABLES: dict[str, str] = {
     "staff": f"""
         SELECT n_nationkey AS staffid, n_nationkey AS doctorid, concat('Staff ', CAST(n AS STRING))
           AS fullname FROM {_NATIONS}""",
+    "value_set_code": "SELECT 'reproductive_health' AS set_name, code, code_to, kind FROM (VALUES " + ", ".join(
+        [f"('{c}', CAST(NULL AS STRING), 'exact')" for c in _REPRODUCTIVE_HEALTH]
+        + [f"('{c}', " + (f"'{to}'" if to else "CAST(NULL AS STRING)") + f", '{kind}')" for c, to, kind in _CODE_RULES])
+        + ") AS listed(code, code_to, kind)",
     "lists": f"""
         SELECT n_nationkey AS medlistsid, concat('Item ', CAST(n AS STRING)) AS description FROM {_NATIONS}""",
     "visit_type": f"""

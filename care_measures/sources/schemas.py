@@ -73,7 +73,7 @@ TABLES: dict[str, str] = {
                     "clinicappliedto INT, chart_status INT, history INT",
     "ddb_proc_code": "proc_codeid BIGINT, adacode STRING",
     # Long code lists kept as data: set name and code.
-    "value_set_code": "set_name STRING, code STRING",
+    "value_set_code": "set_name STRING, code STRING, code_to STRING, kind STRING",
 }
 
 

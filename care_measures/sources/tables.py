@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,12 +22,19 @@ class Source:
         self._load = load
         self._open: dict[str, DataFrame] = {}
         self.config = config or SiteConfig()
+        self.consents: tuple[DataFrame, date] | None = None
 
     def table(self, name: str) -> DataFrame:
         if name not in self._open:
             self._open[name] = self._load(name)
         return self._open[name]
 
+    def with_consents(self, state: DataFrame, until: date) -> "Source":
+        """This source with a consent state (see ``extend_state``) of all notes up to a day."""
+        out = Source(self.table, self.config)
+        out.consents = (state, until)
+        return out
+
     @classmethod
     def parquet(cls, spark: SparkSession, root: str, config: SiteConfig | None = None) -> "Source":
         """One Parquet folder per table under ``root``, read with the declared schema."""

@@ -15,7 +15,7 @@ from ..functions.expressions import (age_months, age_years, ci, is_any, label_ma
                                      not_like_all, within)
 from ..functions import valuesets as vs
 from ..operators.filters import exclude_after_hours, exclude_by_name
-from ..operators.ranking import current_version, latest_per_key
+from ..operators.ranking import current_version, latest_if_within
 from .tables import Source
 
 
@@ -44,11 +44,14 @@ def notes_between(src: Source, start: date, end: date) -> DataFrame:
     return src.table("patient_note").where(within("note_datetime", start, end))
 
 
-def latest_notes(src: Source, start: date, end: date) -> DataFrame:
-    """Newest version of each note. Assumed: versions share the note's date and time."""
-    return latest_per_key(notes_between(src, start, end), ["patient_note_id"], ["update_datetime"],
-                          ["note_datetime", "patientprofileid", "doctorid", "dept_id",
-                           "template_id", "signedby"])
+def latest_notes(src: Source, start: date, end: date, members: DataFrame | None = None) -> DataFrame:
+    """Newest version of each note, if that one was written in the window (for ``members`` only).
+
+    A note whose newest version has another date belongs to that date alone.
+    """
+    return latest_if_within(src.table("patient_note"), "patient_note_id", "update_datetime", "note_datetime", start, end,
+                            ["patientprofileid", "doctorid", "dept_id", "template_id", "signedby"], members,
+                            "patientprofileid")
 
 
 def visit_templates(src: Source, patterns: tuple[str, ...], types: tuple[int, ...],
@@ -61,7 +64,8 @@ def visit_templates(src: Source, patterns: tuple[str, ...], types: tuple[int, ..
     ).select("template_id", "template_name")
 
 
-def medical_notes(src: Source, start: date, end: date, variant: str = "medical") -> DataFrame:
+def medical_notes(src: Source, start: date, end: date, variant: str = "medical",
+                  members: DataFrame | None = None) -> DataFrame:
     """Newest note versions of medical templates, with the template name.
 
     Assumed: the full medical-note view drops the same templates as the blood-pressure
@@ -72,7 +76,7 @@ def medical_notes(src: Source, start: date, end: date, variant: str = "medical")
         "sign_off": (vs.SIGN_OFF_PATTERNS, vs.SIGN_OFF_TYPES, vs.SIGN_OFF_NAMES),
         "tobacco": (vs.TOBACCO_PATTERNS, vs.TOBACCO_TYPES, ()),
     }[variant]
-    return latest_notes(src, start, end).join(visit_templates(src, *blacklist), "template_id")
+    return latest_notes(src, start, end, members).join(visit_templates(src, *blacklist), "template_id")
 
 
 def providers(src: Source, include_inactive: bool = False) -> DataFrame:

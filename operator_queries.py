@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, functions as F
 from care_measures.functions import expressions as x
 from care_measures.functions.valuesets import CLINIC_LABELS, ValueSet
 from care_measures.operators import (
-    asof_value, bracket_lookup, cohort, consent_flags, current_version, daily_observations, earliest_per_key,
+    asof_value, bracket_lookup, code_mask, cohort, consent_flags, current_version, daily_observations, earliest_per_key, evidence,
+    extend_state,
     exclude_after_hours, exclude_by_name, follow_up_within, ids_of, lab_results, latest_observations, latest_per_key,
     milestones, next_booking, observations_asof, observations_exact, report, responses_wide, slot_any_match,
     slot_join, stage_durations)
+from care_measures.plans.common import DX_SLOTS
 from care_measures.plans.scheduling import MILESTONES, NO_SHOW_QUESTIONS, PORTAL_USER, STAGES
 from care_measures.sources import views
 from care_measures.sources.tables import Source
@@ -58,6 +60,40 @@ def current_patient_version(src, given):
                            ["patient_number"]).select("patient_id", "patient_number", "birth_date", "zip")
 
 
+@_query
+def newest_note_of_month(src, given):
+    """Notes whose newest version lies in June; those moved out of it by a later version are not there."""
+    return views.latest_notes(src, date(1998, 6, 1), date(1998, 6, 30)).select(
+        "patient_note_id", "patientprofileid", "template_id", "note_datetime")
+
+
+@_query
+def value_set_rules_from_table(src, given):
+    """A stored code list of exact codes, ranges and patterns, marked on the diagnosis codes."""
+    return ValueSet(table=src.table("value_set_code")).mark(src.table("diagnosis"), "icd9", "listed").select(
+        "diagnosis_id", "icd9", "listed")
+
+
+@_query
+def evidence_masks(src, given):
+    """Three code lists over all charges of each patient in one pass."""
+    dx = code_mask(src.table("diagnosis"), "diagnosis_id", [x.like("icd9", "N%"), x.like("icd9", "M1%")], "_d")
+    px = code_mask(src.table("procedure"), "procedure_id", [F.lit(False), F.lit(False), x.like("procedure_code", "X1%")], "_p")
+    return evidence(src.table("charge_history"), "patient_id", DX_SLOTS, dx, "diagnosis_id",
+                    F.coalesce("_d", F.lit(0)).bitwiseOR(F.coalesce("_p", F.lit(0))), procedures=px, procedure="procedure_id",
+                    every_fact=True)
+
+
+@_query
+def consent_state(src, given):
+    """The newest consents up to May, and extended by June."""
+    fields = (src.config.telehealth_consent_field, src.config.telephone_consent_field)
+    notes, controls = src.table("patient_note"), src.table("patient_note_control")
+    may = extend_state(None, notes, controls, fields, None, date(1998, 5, 31))
+    june = extend_state(may, notes, controls, fields, date(1998, 6, 1), date(1998, 6, 30))
+    return june.select("patientprofileid", "template_field_id", F.col("newest.value").alias("consent"))
+
+
 @_query
 def slot_join_codes(src, given):
     parts = given("part").select("p_partkey", "p_type")

@@ -108,6 +108,9 @@ HELPERS: dict[str, str] = {
         JOIN lab_req r ON s.lab_result_req_id = r.lab_result_req_id
         JOIN lab_value v ON i.lab_result_item_id = v.lab_result_item_id""",
     "fields": "SELECT DISTINCT pid, d, f FROM obs",
+    "reproductive": """SELECT DISTINCT g.icd9 FROM diagnosis g JOIN value_set_code s ON s.set_name = 'reproductive_health'
+        AND CASE s.kind WHEN 'range' THEN upper(rtrim(g.icd9)) BETWEEN upper(s.code) AND upper(s.code_to)
+        WHEN 'pattern' THEN g.icd9 ILIKE s.code ELSE lower(rtrim(g.icd9)) = lower(s.code) END""",
 }
 
 
@@ -579,11 +582,13 @@ SELECT short_name AS "Clinic", provider_name AS "Provider", patientid AS "Patien
   CASE WHEN w ILIKE 'very low%' THEN 1 WHEN w IS NOT NULL THEN 0 END AS "<1500g",
   CASE WHEN w ILIKE 'low%' THEN 1 WHEN w IS NOT NULL THEN 0 END AS "1501g TO 2500g",
   CASE WHEN w ILIKE 'normal%' THEN 1 WHEN w IS NOT NULL THEN 0 END AS ">2500g"
-FROM (SELECT v.*, {on(15085, 'v.pid', 'v.day')} AS dos,
-    coalesce({on(15127, 'v.pid', 'v.day')}, {on(15141, 'v.pid', 'v.day')}, {on(15142, 'v.pid', 'v.day')}) AS w
+FROM (SELECT v.*, o.dos, coalesce(o.w1, o.w2, o.w3) AS w
   FROM ({last_note('patient_note', 'phys', where='''EXISTS (SELECT 1 FROM patient_note_control c
     WHERE c.patient_note_id = n.patient_note_id AND c.template_field_id IN (15127, 15141, 15142)
     AND trim(c.data_value) NOT IN ('.', '..', '...', ''))''')}) v
+  LEFT JOIN (SELECT pid, d, {', '.join(f"arg_max(v, (ts, nid, v)) FILTER (WHERE f = {f}) AS {n}" for n, f in
+      dict(dos=15085, w1=15127, w2=15141, w3=15142).items())} FROM obs WHERE f IN (15085, 15127, 15141, 15142) GROUP BY pid, d) o
+    ON o.pid = v.pid AND o.d = v.day
   WHERE v.pid NOT IN (SELECT pid FROM obs WHERE f = 15476 AND {_MONTH} AND trim(v) IN ('AB/TAB/EAB', 'Decline to state',
       'Fetal Demise / Neo. Death', 'Letter sent / Lost to F/U', 'SAB / Miscarriage'))
     AND v.pid IN (SELECT pid FROM obs WHERE f = 15085 AND TRY_CAST(v AS DATE) BETWEEN {S} AND {E})) q"""
@@ -649,7 +654,7 @@ WHERE ((p.sex = 'M' AND p.age BETWEEN 12 AND 60) OR (p.sex = 'F' AND p.age BETWE
   AND p.patient_id NOT IN ({_charged('px', vs.TERMINATION_PROCEDURES, 'dx', f"lower(g.icd9) IN ({_list(vs.TERMINATION_DIAGNOSES)})")})
   AND p.patient_id IN ({_charged('procedure', vs.CONTRACEPTION_PROCEDURES, 'diagnosis', f"lower(g.icd9) IN ({_list(vs.CONTRACEPTION_DIAGNOSES)})")})
   AND p.patient_id IN ({_charged('procedure', vs.REPRODUCTIVE_HEALTH_PROCEDURES, 'diagnosis',
-                                 "(g.icd9 ILIKE 'n7%' OR g.icd9 ILIKE 'n8%' OR g.icd9 ILIKE 'a5%')")})"""
+                                 "g.icd9 IN (SELECT icd9 FROM reproductive)")})"""
 
 _FILLED = "coalesce(trim(v), '') NOT IN ('', '..', '...', '.')"
 SQL["m29_missed_opportunity"] = f"""

@@ -53,6 +53,15 @@ SQL: dict[str, str] = {
     "current_patient_version": """SELECT p.patient_id, p.patient_number, p.birth_date, p.zip FROM patient p JOIN
       (SELECT patient_id, max(modified_date) AS m FROM patient WHERE active_yn = 'Y' GROUP BY 1) l
       ON l.patient_id = p.patient_id AND l.m = p.modified_date WHERE p.active_yn = 'Y'""",
+    "newest_note_of_month": """SELECT patient_note_id, patientprofileid, template_id, note_datetime FROM newest
+      WHERE CAST(note_datetime AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-30'""",
+    "value_set_rules_from_table": """SELECT diagnosis_id, icd9, icd9 IN (SELECT icd9 FROM reproductive) AS listed FROM diagnosis""",
+    "evidence_masks": """SELECT patient_id, bit_or((CASE WHEN icd9 ILIKE 'n%' THEN 1 ELSE 0 END) + (CASE WHEN icd9 ILIKE 'm1%' THEN 2 ELSE 0 END)
+        + (CASE WHEN procedure_code ILIKE 'x1%' THEN 4 ELSE 0 END)) AS mask
+      FROM (SELECT patient_id, procedure_id, unnest([diagnosis_id_1, diagnosis_id_2, diagnosis_id_3, diagnosis_id_4]) AS slot FROM charge_history)
+      LEFT JOIN diagnosis ON slot = diagnosis_id LEFT JOIN procedure USING (procedure_id) GROUP BY 1""",
+    "consent_state": """SELECT pid AS patientprofileid, f AS template_field_id, arg_max(v, (ts, nid, v)) AS consent FROM obs
+      WHERE f IN (16001, 16002) AND d <= DATE '1998-06-30' GROUP BY 1, 2""",
     "slot_join_codes": """SELECT p_partkey, p_type, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem
       JOIN part ON p_partkey = l_partkey OR p_partkey = l_suppkey OR p_partkey = l_linenumber GROUP BY 1, 2""",
     "slot_any_match_codes": """SELECT l_returnflag, l_linestatus, l_linenumber, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem

@@ -29,6 +29,12 @@ def controls(src: Source) -> DataFrame:
     return src.table("patient_note_control")
 
 
+def noted(src: Source, p: Period) -> DataFrame:
+    """Patients with any note in the month: all that a medical measure can report on, and told by one narrow, filtered
+    scan. Other tables are cut down to them before they are joined or aggregated; the ranked visits decide later."""
+    return views.notes_between(src, p.start, p.end).select(PATIENT)
+
+
 def one_row(patients: DataFrame) -> DataFrame:
     """A single row per patient, for measures that rank by patient but not by record."""
     return latest_per_key(patients, [PATIENT], ["patientid", "birthdate", "sex"])

@@ -67,12 +67,15 @@ def _planning(src: Source, start: date, end: date, members: DataFrame) -> DataFr
                     members=members, member=PATIENT, keep_null=True)
 
 
+def _kept_appts(src: Source, p: Period) -> DataFrame:
+    return src.table("patientappt").where((ci("status") == "appt kept") & within("booking_date", p.start, p.end))
+
+
 def _kept(src: Source, p: Period) -> DataFrame:
     """Kept medical visits of the month with a clinician, by day."""
     types = views.visit_types(src, "medical").select("visit_type_id", "short_desc")
     phys = views.providers(src).where(is_any("degree", CLINICIANS)).select("doctorid", "provider_name", "degree")
-    appts = src.table("patientappt").where((ci("status") == "appt kept") & within("booking_date", p.start, p.end))
-    return (appts.join(types, "visit_type_id").join(phys, "doctorid")
+    return (_kept_appts(src, p).join(types, "visit_type_id").join(phys, "doctorid")
             .join(views.departments(src).select("departmentid", "short_name"), "departmentid")
             .select(F.col(PATIENT), day("booking_date").alias("dos"), "short_desc", "short_name", "provider_name",
                     "degree"))
@@ -125,12 +128,13 @@ def family_planning(src: Source, as_of: date, reproductive_health: ValueSet | No
         ((sex == "m") & age.between(12, 60)) | ((sex == "f") & age.between(12, 55)))
     k = _kept(src, p).select(F.col(PATIENT), "dos", "short_name", "degree").distinct()
     v = k.join(people.withColumnRenamed("patient_id", PATIENT), PATIENT)
-    care = _care(src, since, p.end, reproductive_health, v)
+    # All other tables are cut down to the patients with a kept appointment, told by one narrow scan.
+    members = _kept_appts(src, p).select(PATIENT)
+    care = _care(src, since, p.end, reproductive_health, members)
     listed = care.where(has(PLANNED) & has(CARED) & ~has(ENDED)).select(F.col("patient_id").alias("_id"))
     v = v.join(listed, F.col(PATIENT) == F.col("_id"), "left_semi")
     # As written, a termination charge without a patient would leave nothing.
     v = v.where(~care.where(F.col("patient_id").isNull() & has(ENDED)).exists())
-    members = v.select(PATIENT)
     for key, name in (("employment_status_id", "employment"), ("race_id", "race"), ("ethnicity_id", "ethnicity")):
         v = v.join(_listed(src, key, name), key, "left")
     for side in (_coverage(src, since, p.end, members), _language(src, members), _poverty(src, members)):
@@ -160,10 +164,10 @@ def missed_opportunity(src: Source, as_of: date) -> DataFrame:
     v = latest_per_key(_kept(src, p), [PATIENT], ["dos"], ["short_name", "provider_name", "short_desc"])
     people = views.registered_patients(src, as_of).where(F.col("age").between(12, 50))
     v = v.join(people.withColumnRenamed("patient_id", PATIENT), PATIENT)
-    charged = _planning(src, since, p.end, v)
+    members = _kept_appts(src, p).select(PATIENT)
+    charged = _planning(src, since, p.end, members)
     v = cohort(v, PATIENT, include=[charged.where(has(0)).select(F.col("patient_id").alias("id"))],
                exclude=[charged.where(has(1)).select(F.col("patient_id").alias("id"))])
-    members = v.select(PATIENT)
 
     def written(match: Column) -> DataFrame:
         forms = src.table("template").where(match).select("template_id")

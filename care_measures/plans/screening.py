@@ -19,7 +19,7 @@ from ..operators.report import report
 from ..operators.slots import slot_join
 from ..sources import views
 from ..sources.tables import Source
-from .common import DX_SLOTS, controls, diagnosed, latest_visit, look_up, one_row
+from .common import DX_SLOTS, controls, diagnosed, latest_visit, look_up, noted, one_row
 
 
 def _labs(src: Source, start: date, end: date, *, hist: str, values: bool = True,
@@ -58,7 +58,7 @@ def cervical_cancer(src: Source, as_of: date) -> DataFrame:
                    "patient_id")] if src.config.exclude_hysterectomy else [])
     women = views.patients(src, as_of).where(F.col("age").between(21, 64) & (ci("sex") == "f"))
     v = v.join(women, PATIENT)
-    pap = _labs(src, since, p.end, hist="ignore", values=False, seen=v,
+    pap = _labs(src, since, p.end, hist="ignore", values=False, seen=noted(src, p),
                 items=src.table("lab_item").where(like_any("result_code", vs.PAP_RESULT_PATTERNS)),
                 sets=src.table("lab_set").where(like_any("obr_order_code", vs.PAP_ORDER_PATTERNS)))
     pap = pap.groupBy(PATIENT).agg(F.max("obr_obs_datetime").alias("last_pap"))
@@ -93,15 +93,15 @@ def chlamydia(src: Source, as_of: date) -> DataFrame:
         src.table("charge_history"), "patient_id", DX_SLOTS, code_mask(dx, "diagnosis_id", [F.lit(True)], "_d"), "diagnosis_id",
         F.coalesce("_d", F.lit(0)).bitwiseOR(F.when(in_year, F.coalesce("_p", F.lit(0)).bitwiseOR(F.lit(4))).otherwise(0)),
         procedures=code_mask(views.procedures(src).where(codes), "procedure_id", [F.lit(False), F.lit(True)], "_p"),
-        procedure="procedure_id", every_fact=True, members=v, member=PATIENT)
+        procedure="procedure_id", every_fact=True, members=noted(src, p), member=PATIENT)
     drugs = src.table("patient_drug").where(
         within("start_date", since, p.end) & like_any("drug_name", dict.fromkeys(vs.CONTRACEPTIVE_DRUGS)))
-    given = ids_of(of_cohort(drugs, v, PATIENT), PATIENT).select("id", F.lit(True).alias("given"))
+    given = ids_of(of_cohort(drugs, noted(src, p), PATIENT), PATIENT).select("id", F.lit(True).alias("given"))
     active = charged.join(given, F.col("patient_id") == F.col("id"), "left").where(
         has(0) | has(1) | has(2) & F.coalesce("given", F.lit(False))).select(F.col("patient_id").alias("id"))
 
     tests = _labs(src, since, p.end, hist="match", items=src.table("lab_item").where(
-        is_any("result_desc", vs.CHLAMYDIA_RESULTS)), seen=v).where("result_status IS NOT NULL")
+        is_any("result_desc", vs.CHLAMYDIA_RESULTS)), seen=noted(src, p)).where("result_status IS NOT NULL")
     tests = tests.groupBy(PATIENT).agg(F.max("obr_obs_datetime").alias("tested"))
     v = cohort(look_up(src, v, p), PATIENT, include=[active]).join(tests, PATIENT, "left")
     return report(v, {
@@ -121,9 +121,8 @@ def depression(src: Source, as_of: date) -> DataFrame:
 
     seen = views.in_hours(src, views.medical_notes(src, p.start, p.end), "note_datetime")
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
-    people = v.join(views.patients(src, as_of).where("age >= 12"), PATIENT)
     v = look_up(
-        src, people, p, recent=in_window(3696, 15095, 15096, 15097, 15423, start=p.start),
+        src, v.join(views.patients(src, as_of).where("age >= 12"), PATIENT), p, recent=in_window(3696, 15095, 15096, 15097, 15423, start=p.start),
         phq9=in_window(15095, 15096, 15097, 3696, 15958, start=since, keep=number, prefer=try_int),
         phq2=in_window(15423, 15957, 15815, 15816, start=since, keep=filled),
         screen1=in_window(15593), screen2=in_window(14765))
@@ -131,7 +130,7 @@ def depression(src: Source, as_of: date) -> DataFrame:
         diagnosed(src, views.diagnoses(src), ValueSet(ranges=vs.DEPRESSION_RANGE), since, p.end)])
     v = v.withColumn("phq2", leading_score("phq2"))
     # The follow-up plan counts only from medical notes.
-    plan = latest_observations(views.medical_notes(src, since, p.end, members=people), controls(src), {"plan": (15143,)},
+    plan = latest_observations(views.medical_notes(src, since, p.end, members=noted(src, p)), controls(src), {"plan": (15143,)},
                                since, p.end, keep=number)
     v = v.join(plan.select(PATIENT, "plan"), PATIENT, "left")
 
@@ -169,10 +168,10 @@ def colorectal_cancer(src: Source, as_of: date) -> DataFrame:
     v = latest_visit(seen, views.without(src, views.medical_providers(src)), views.departments(src))
     people = one_row(views.patients(src, as_of, unique=False).where(F.col("age").between(45, 75)))
     v = v.join(people, PATIENT)
-    lab = _labs(src, p.lookback(years=2), p.end, hist="match", items=src.table("lab_item").where(fit | office), seen=v)
+    lab = _labs(src, p.lookback(years=2), p.end, hist="match", items=src.table("lab_item").where(fit | office), seen=noted(src, p))
     lab = lab.groupBy(PATIENT).agg(F.max(F.when(fit, F.col("obr_obs_datetime"))).alias("fit"),
                                    F.max(F.when(office, F.col("obr_obs_datetime"))).alias("office"))
-    scan = (of_cohort(src.table("document").where(like("file_name", "%FOBT%")), v, PATIENT)
+    scan = (of_cohort(src.table("document").where(like("file_name", "%FOBT%")), noted(src, p), PATIENT)
             .groupBy(PATIENT).agg(F.max("doc_date").alias("scanned")))
     v = look_up(src, v, p).join(lab, PATIENT, "left").join(scan, PATIENT, "left")
     return report(v, {
@@ -198,7 +197,7 @@ def diabetic_a1c(src: Source, as_of: date) -> DataFrame:
     people = views.patients(src, as_of, unique=False)
     adults = ids_of(people.where("age >= 18"), PATIENT)
     v = v.join(one_row(people), PATIENT)
-    lab = _labs(src, since, p.end, hist="zero", seen=v, items=src.table("lab_item").where(
+    lab = _labs(src, since, p.end, hist="zero", seen=noted(src, p), items=src.table("lab_item").where(
         is_any("result_code", vs.A1C_RESULTS))).where(number(F.col("result_value")))
     lab = lab.groupBy(PATIENT).agg(
         F.max(F.struct("obr_obs_datetime", "lab_result_item_id", "result_value")).alias("lab"))

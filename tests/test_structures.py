@@ -38,10 +38,30 @@ def stored(spark, tmp_path_factory):
 
 
 def charge_scans(df):
-    """How often the executed plan reads charges with their diagnoses or classes; a reused exchange reads nothing."""
+    """How often charges are read with their diagnoses or classes: in the tree that ran, subqueries included and reused
+    exchanges left out."""
     assert df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    return len(re.findall(r"FileScan parquet \[[^\]]*(?:diagnosis_id_1|financial_class_id_1)", final))
+    node = df._jdf.queryExecution().executedPlan()
+    node = node.executedPlan() if "Adaptive" in node.getClass().getSimpleName() else node
+    seen, found = set(), 0
+
+    def walk(n):
+        nonlocal found
+        kind = n.getClass().getSimpleName()
+        if kind in ("ReusedExchangeExec", "ReusedSubqueryExec") or n.id() in seen:
+            return
+        seen.add(n.id())
+        if kind == "FileSourceScanExec" and re.search("diagnosis_id_1|financial_class_id_1", n.output().mkString(",")):
+            found += 1
+        for inner in ("plan", "executedPlan"):
+            if (inner == "plan" and kind.endswith("QueryStageExec")) or (inner == "executedPlan" and "AdaptiveSparkPlan" in kind):
+                walk(getattr(n, inner)())
+        for part in (n.children(), n.subqueries()):
+            for i in range(part.size()):
+                walk(part.apply(i))
+
+    walk(node)
+    return found
 
 
 def test_count_up_to_is_bisect(spark):

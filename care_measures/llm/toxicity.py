@@ -16,8 +16,8 @@ from care_measures.llm.words import LOWER, HashTable, Words, blocks, held, missi
 
 #: Labelled documents of each class that the lexicon and the weights are learned from.
 SAMPLE = 6000
-#: Terms that the lexicon is made from at most, and the lengths of the stems among them.
-TERMS, STEMS = 5000, (4, 5, 6)
+#: Lengths of the stems among the terms.
+STEMS = (4, 5, 6)
 #: A term stands in so many toxic sample documents at least, and in toxic ones so many times as often as in others.
 LEAST, RATIO = 4, 30.0
 WINDOW = 8
@@ -27,6 +27,10 @@ _DOUBLE, _SINGLE, _QUOTES = re.compile(rb"\xe2\x80[\x9c-\x9f]|\xc2[\xab\xbb]"),
 WHOLE, STEM, NEAR = 1, 2, 3
 FEATURES = 8
 MEMORY_WORDS = 1_500_000
+#: Letters of a term that misspellings are looked for; longer ones are found as they are. A state is the bits of an integer.
+LONGEST = 60
+#: Letters of a term that one edit, or two in words of nine letters or more, may be made in.
+_LEAST_LETTERS = (5, 8)
 #: Words whose automata are run side by side.
 AT_ONCE = 1 << 14
 
@@ -41,10 +45,9 @@ class Lexicon:
             for c in term:
                 node = node.setdefault(c, {})
             node[STEM if is_stem else WHOLE] = weight
-        whole = [t for t, is_stem, _ in terms if not is_stem and len(t) >= 5]
-        # a word within one edit of a term has its first two or its last three characters, and nearly its length
-        self._heads = {(t[:2], len(t) + d) for t in whole for d in (-2, -1, 0, 1, 2)}
-        self._tails = {(t[-3:], len(t) + d) for t in whole for d in (-2, -1, 0, 1, 2)}
+        # by edits, the lengths of words that may be within them of a term
+        lengths = {len(t) for t, is_stem, _ in terms if not is_stem and len(t) <= LONGEST}
+        self._lengths = [{n + d for n in lengths if n >= least for d in range(-e, e + 1)} for e, least in enumerate(_LEAST_LETTERS, 1)]
 
     def look_up(self, word: str) -> tuple[int, float]:
         """Kind of the best find for a word (0: none) and its weight."""
@@ -56,8 +59,9 @@ class Lexicon:
         kind, weight, left = np.zeros(len(words), np.int8), np.zeros(len(words)), ([], [])
         for i, word in enumerate(words):
             kind[i], weight[i] = self._exact(word)
-            if not kind[i] and 4 <= len(word) <= 40 and ((word[:2], len(word)) in self._heads or (word[-3:], len(word)) in self._tails):
-                left[len(word) >= 9].append(i)
+            two = len(word) >= 9
+            if not kind[i] and len(word) >= 4 and len(word) in self._lengths[two]:
+                left[two].append(i)
         for edits, places in enumerate(left, 1):
             for at in range(0, len(places), AT_ONCE):
                 some = places[at: at + AT_ONCE]
@@ -90,7 +94,7 @@ class Lexicon:
         stack = [(self.root, np.arange(len(words)), [np.full(len(words), (2 << e) - 1, np.uint64) for e in range(edits + 1)], 0)]
         while stack:
             node, who, state, depth = stack.pop()
-            if WHOLE in node and depth >= (5 if edits == 1 else 8):
+            if WHOLE in node and _LEAST_LETTERS[edits - 1] <= depth <= LONGEST:
                 hit = who[state[-1] & end[who] > 0]
                 best[hit] = np.maximum(best[hit], node[WHOLE])
             for c, child in node.items():
@@ -218,7 +222,7 @@ def learn_terms(sample: DataFrame) -> list[tuple[str, bool, float]]:
     counted = sample.select("text", "toxic").mapInArrow(_terms_of, "term string, is_stem boolean, toxic long, other long").groupBy("term", "is_stem").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = F.log((F.col("toxic") / toxic) / ((F.col("other") + 0.5) / other))
-    best = counted.filter((F.col("toxic") >= LEAST) & (odds >= float(np.log(RATIO)))).orderBy(F.desc("toxic"), "term", "is_stem").limit(TERMS)
+    best = counted.filter((F.col("toxic") >= LEAST) & (odds >= float(np.log(RATIO)))).orderBy(F.desc("toxic"), "term", "is_stem")  # as many as the bounded sample holds
     return condensed([(r["term"], r["is_stem"], r["toxic"], float(r["odds"])) for r in best.withColumn("odds", odds).collect()])
 
 
@@ -266,12 +270,16 @@ def toxicity(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     any ending) and the weights of the features come from it. Whole texts are searched for words of the lexicon, spelled right or
     wrong; finds between quotation marks within eight words on both sides count apart, and finds close to each other once more.
 
-    A null text is an empty one; texts without finds all get the lowest score. Without labels of either class the score is that
-    class's share alone. Repeated rows are scored alike; an empty table gives no rows. Other columns are not read."""
+    A null text is an empty one; texts without finds all have one score. With labels of one class only every score is that
+    class's, 0 or 1, and without any it is 0. Repeated rows are scored alike; an empty table gives no rows. Other columns are not read."""
     terms = learn_terms(labelled)
     rows = labelled.select(ROW, "text").mapInArrow(_features(terms, ROW), f"{ROW} long, features array<double>").join(labelled.select(ROW, "toxic"), ROW).collect()
     x = np.array([r["features"] for r in rows]).reshape(-1, FEATURES)
-    weights = logistic_regression(x, np.array([float(r["toxic"] > 0) for r in rows]))
+    y = np.array([float(r["toxic"] > 0) for r in rows])
+    if len(set(y)) < 2:
+        share = float(y.max(initial=0.0))
+        return keyed(docs).select(ROW, "doc_id", F.lit(share).alias("score"), F.lit(0).cast("long").alias("n_finds"))
+    weights = logistic_regression(x, y)
     return keyed(docs).mapInArrow(_scores(terms, weights), f"{ROW} long, doc_id long, score double, n_finds long")
 
 

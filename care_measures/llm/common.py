@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 from pathlib import Path
 
@@ -37,15 +40,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if _temporary.get():
+        _temporary.get()[-1].append((path, out))
+    return out
 
 
-def drop_stored(df: DataFrame) -> None:
+_temporary: ContextVar[tuple[list, ...]] = ContextVar("temporary", default=())
+
+
+@contextmanager
+def temporary() -> Iterator[Callable[..., None]]:
+    """Deletes the tables stored inside the block when it ends, but for those that are named as kept: what the block returns
+    may read no others."""
+    own: list[tuple[str, DataFrame]] = []
+    kept: list[DataFrame] = []
+    token = _temporary.set((*_temporary.get(), own))
+    try:
+        yield lambda *tables: kept.extend(tables)
+    finally:
+        _temporary.reset(token)
+        for path, table in own:
+            if not any(table is k for k in kept):
+                drop_stored(table, path)
+
+
+def drop_stored(table: DataFrame, path: str | None = None) -> None:
     """Deletes the files of a stored table that no later step reads."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    spark = table.sparkSession
+    if path is None:
+        files = table.inputFiles()
+        if not files:
+            return
+        path = files[0].rsplit("/", 1)[0]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @cache

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from care_measures.llm.common import ROW, documents, keyed, numbered, stored
+from care_measures.llm.common import ROW, documents, keyed, numbered, stored, temporary
 from care_measures.llm.words import blocks, mix, powers
 
 #: Bytes of a string that is removed where it stands again; bytes of the names that positions are sampled by.
@@ -250,7 +250,7 @@ def _windows(mixed: Broadcast, shared: Broadcast):
 def _ranked(places: DataFrame, name: str) -> DataFrame:
     """(__row, start, end, name, again): whether the string at a place has stood earlier.
 
-    A task sends one place for a string at most, so a string of a third of all rows costs a row per task."""
+    A task sends one place for a string in each run of places it holds at once, so a string of a third of all rows costs few."""
     place = F.row_number().over(Window.partitionBy("a", "b").orderBy("doc_order", ROW, "start"))
     return stored(places.withColumn("place", place).select(ROW, "start", "end", "name", (F.col("covered") | (F.col("place") > 1)).alias("again")), name)
 
@@ -313,18 +313,34 @@ def suffix_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
 
     A null text is an empty one; texts shorter than LENGTH lose nothing. Repeated rows are copies of the first. An empty table gives no rows;
     other columns are not read."""
-    rows = keyed(numbered(docs))
+    docs = numbered(docs)
+    rows = keyed(docs)
     ordered = rows.select(ROW, F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_order"), "text")
     again = lambda df, c: df.groupBy(c).agg(F.sum("n").alias("n")).filter("n > 1").select(c)
+    undecided = lambda places: _filter(again(places.filter("NOT again").select("name", F.lit(1).alias("n")), "name"), "name")
+
+    def covered(places: DataFrame) -> DataFrame:
+        # a context shorter than a window holds none
+        found = places.filter(f"again AND end - start >= {LENGTH}").groupBy(ROW).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        return stored(found.mapInArrow(_merged, f"{ROW} long, spans array<struct<start: long, end: long>>"), "spans")
+
+    # Each round's places go once their spans and the names that are still undecided are known.
     shared = _filter(again(rows.select("text").mapInArrow(_seeds, "name long, n long"), "name"), "name")
-    contexts = _ranked(ordered.mapInArrow(_contexts(shared), PLACES), "contexts")
-    mixed = _filter(again(contexts.filter("NOT again").select("name", F.lit(1).alias("n")), "name"), "name")
-    groups = _ranked(ordered.mapInArrow(_groups(mixed), PLACES), "groups")
-    cores = _filter(again(groups.filter("NOT again").select("name", F.lit(1).alias("n")), "name"), "name")
-    windows = _ranked(ordered.mapInArrow(_windows(mixed, cores), PLACES), "windows")
-    # a context shorter than a window holds none
-    found = contexts.unionByName(groups).unionByName(windows).filter(f"again AND end - start >= {LENGTH}").groupBy(ROW).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    spans = stored(found.mapInArrow(_merged, f"{ROW} long, spans array<struct<start: long, end: long>>"), "spans")
+    with temporary() as keep:
+        contexts = _ranked(ordered.mapInArrow(_contexts(shared), PLACES), "contexts")
+        mixed, first = undecided(contexts), covered(contexts)
+        keep(first)
+    with temporary() as keep:
+        groups = _ranked(ordered.mapInArrow(_groups(mixed), PLACES), "groups")
+        cores, second = undecided(groups), covered(groups)
+        keep(second)
+    with temporary() as keep:
+        third = covered(_ranked(ordered.mapInArrow(_windows(mixed, cores), PLACES), "windows"))
+        keep(third)
+    with temporary() as keep:
+        found = first.unionByName(second).unionByName(third).groupBy(ROW).agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        spans = stored(found.mapInArrow(_merged, f"{ROW} long, spans array<struct<start: long, end: long>>"), "spans")
+        keep(spans)
     touched = _filter(spans.mapInArrow(_row_names, "name long"), "name")
     texts = rows.mapInArrow(_texts(touched), f"{ROW} long, doc_id long, n_bytes long, bytes binary, sha string")
     return texts.join(spans, ROW, "left").mapInArrow(_cut(with_text), f"{ROW} long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary")

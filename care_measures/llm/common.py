@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -63,6 +64,16 @@ def temporary() -> Iterator[Callable[..., None]]:
         for path, table in own:
             if not any(table is k for k in kept):
                 drop_stored(table, path)
+        _release_shuffles()
+
+
+def _release_shuffles() -> None:
+    """Lets Spark delete the shuffle files of steps that are done: it does once the driver's JVM has collected their handles,
+    which a large heap may put off until the disks of the executors are full."""
+    gc.collect()
+    context = SparkContext._active_spark_context
+    if context is not None:
+        context._jvm.System.gc()
 
 
 def drop_stored(table: DataFrame, path: str | None = None) -> None:

@@ -14,7 +14,7 @@ from care_measures.llm.common import ROW, documents, keyed, numbered, stored, te
 from care_measures.llm.words import blocks, mix, powers
 
 #: Bytes of a string that is removed where it stands again; bytes of the names that positions are sampled by.
-LENGTH, SEED = 100, 64
+LENGTH, SEED = 100, 32
 #: Windows around a sampled position that are told apart in one step.
 STEP = 8
 #: Words of 64 bits in the filters that are sent to the tasks: 16 MB whatever the corpus. They only spare work.
@@ -45,10 +45,12 @@ class Names:
         self.starts = LENGTH + np.concatenate([[0], np.cumsum(self.sizes + LENGTH)])
         name, k = _BYTE[self.array], 0
         for offset in (1, 2, 4, 8, 16, 32):
+            if offset == SEED:
+                self.seed = mix(name)
             name = name[:-offset] * _K[k] + name[offset:] * _K[k + 1]
             name ^= name >> _U(32)
             k += 2
-        self.seed, self.double, self._sums = mix(name), name, None  # SEED is the last length that doubling reaches
+        self.double, self._sums = name, None
 
     def wide(self, first: np.ndarray, *further: np.ndarray) -> np.ndarray:
         """Names of the union of 64-byte strings at these places."""
@@ -304,7 +306,7 @@ def suffix_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
     or with_text is false).
 
     A byte is removed if a string of LENGTH bytes around it also starts earlier: in a row with smaller doc_id (of equal ones, one read
-    earlier; a null doc_id counts as the largest) or earlier in the same text. Prefix doubling names strings of 64 bytes
+    earlier; a null doc_id counts as the largest) or earlier in the same text. Prefix doubling names strings of 32 bytes
     at every position, sampled positions are ranked by these names, and those whose name is unique drop out. What is left is named anew
     at growing precision: all that the windows of a position can hold, all that eight windows in a row hold, and at last the single
     windows of LENGTH bytes; where a name has stood earlier all its windows are covered, and only where what the windows have

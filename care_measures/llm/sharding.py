@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from care_measures.llm.common import ROW, documents, keyed, stored
 
 SHARDS, CELLS = 24, 16384
+#: A token: bytes between white space.
+WORD = r"[^\x20\x09-\x0D]+"
 DIMENSIONS, WEIGHTS = ("bytes", "tokens", "rows"), np.array([4.0, 1.0, 1.0])
 
 
@@ -32,14 +34,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, cells: int = CELLS) -> DataFram
     most) is counted in pieces; it still goes to one shard as a whole unless it exceeds a shard's share. Slots
     are numbered inside cells and pieces from the rows that stand before them in their shard.
 
-    size is the text's UTF-8 bytes plus 8, tokens the words by white space. A null text has no bytes and is in a group with
+    size is the text's UTF-8 bytes plus 8, tokens its words (longest runs without white space; none in an empty text). A null text has no bytes and is in a group with
     the empty ones; its crc32 is 0. Repeated rows and null or equal doc_ids are rows like others. An empty table gives no
     rows; other columns are not read."""
     spark, text = docs.sparkSession, F.col("text")
-    blanks = " \t\n\r"
     rows = stored(keyed(docs).select(
         ROW, "doc_id", (F.octet_length("text") + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64("text").alias("h"), (F.length("text") - F.length(F.translate("text", blanks, "")) + 1).cast("long").alias("tokens"),
+        F.xxhash64("text").alias("h"), F.regexp_count("text", F.lit(WORD)).cast("long").alias("tokens"),
     ), "sizes")
     sums = [F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
     total = np.array([x or 1 for x in rows.agg(*sums).first()], float)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -10,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -280,6 +282,17 @@ def test_sharding(spark, odd_docs):
     assert len(sizes) == 24 and max(sizes.values()) < 1.03 * min(sizes.values())
     rows = sharding.shard(odd_docs, shards=3).collect()
     assert len(rows) == 14 and {r["size"] for r in rows if r["doc_id"] in (2, 3)} == {8}
+    words = {i: len(WORDS.findall(lower(t or ""))) for i, t in ((r["doc_id"], r["text"]) for r in odd_docs.collect()) if i is not None}
+    assert all(r["tokens"] == words[r["doc_id"]] for r in rows if r["doc_id"] is not None)
+
+
+def test_shards_balance_bytes_tokens_and_rows(spark):
+    rows = sharding.shard(common.documents(spark, "/root/testdata/sf0.01")).collect()
+    for of, least in (("size", 0.97), ("tokens", 0.9), (None, 0.9)):
+        sums = Counter()
+        for r in rows:
+            sums[r["shard"]] += r[of] if of else 1
+        assert min(sums.values()) >= least * max(sums.values())
 
 
 def test_a_group_of_a_third_of_all_rows_is_split(spark, tmp_path):
@@ -379,7 +392,7 @@ def test_language_edges(odd_docs, no_docs):
 # language model
 
 def test_base_scores_against_counts(spark, odd_docs):
-    rows = language_model.score(odd_docs, common.fold(7) != 2, together=3).collect()
+    rows = language_model.score(odd_docs, common.fold(7) != 2).collect()
     texts = [(r["doc_id"], r["text"] or "") for r in odd_docs.collect()]
     training = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2
     tokens = lambda t: WORDS.findall(lower(t)) + [None]
@@ -389,21 +402,91 @@ def test_base_scores_against_counts(spark, odd_docs):
     assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in rows) == want
 
 
-def test_context_tree_is_a_distribution_and_learns():
-    texts = [b"abracadabra " * 20, b"abra", b""]
-    array, starts = language_model._edged(texts)
-    at, wide = language_model._places(starts), array.astype(np.int64)
-    grams = sum(wide[at - j] << (8 * j) for j in range(language_model.DEPTH + 1))
-    nodes, following = [np.zeros(1, np.int64)], []
-    for d in range(language_model.DEPTH + 1):
-        g, n = np.unique(grams & ((1 << 8 * (d + 1)) - 1), return_counts=True)
-        following.append((g, n))
-        if d:
-            nodes.append(np.unique(g >> 8))
-    tree = language_model.ContextTree(language_model.levels_of(nodes, following))
-    assert np.allclose((10.0 ** tree.table.astype(float)).sum(axis=1), 1, atol=0.02)
-    scores = tree.scores([b"abracadabra abracadabra ", b"zq!xw#9pvk(jh@0~m%d^uyt&", b""])
-    assert scores[0] > scores[1] / 5 and len(scores) == 3 and (scores < 0).all()
+def context_tree_weighting(texts):
+    """Brute force: log10 of the probability of byte y after the bytes before it, from counts of training texts."""
+    depth, edge = language_model.DEPTH, language_model.EDGE
+    counts = defaultdict(lambda: [0, 0])
+    for t in texts:
+        padded = [edge] * depth + list(t) + [edge]
+        for i in range(depth, len(padded)):
+            for d in range(depth + 1):
+                for bit in range(8):
+                    counts[tuple(padded[i - d: i]), bit, padded[i] >> (8 - bit)][padded[i] >> (7 - bit) & 1] += 1
+    children = defaultdict(list)
+    for context, bit, before in counts:
+        if context:
+            children[context[1:], bit, before].append((context, bit, before))
+    log_own = lambda z, o: math.lgamma(z + 0.5) + math.lgamma(o + 0.5) - math.lgamma(z + o + 1) - math.log(math.pi)
+
+    @functools.cache
+    def weights(node):
+        own = log_own(*counts[node])
+        if len(node[0]) == depth:
+            return 1.0, own
+        both = np.logaddexp(own, sum(weights(c)[1] for c in children[node]))
+        return math.exp(own - both), both - math.log(2)
+
+    def one(history, bit, before, d=0):
+        node = (history[depth - d:], bit, before)
+        if node not in counts:
+            return None
+        zeros, ones = counts[node]
+        own, deeper = (ones + 0.5) / (zeros + ones + 1), one(history, bit, before, d + 1) if d < depth else None
+        keep = weights(node)[0]
+        return own if deeper is None else keep * own + (1 - keep) * deeper
+
+    def log(history, y):
+        out = 0.0
+        for bit in range(8):
+            p = one(history, bit, y >> (8 - bit))
+            p = 0.5 if p is None else p
+            out += math.log10(p if y >> (7 - bit) & 1 else 1 - p)
+        return out
+
+    def of(text):
+        padded = [edge] * depth + list(text) + [edge]
+        return sum(log(tuple(padded[i - depth: i]), padded[i]) for i in range(depth, len(padded)))
+    return of, log
+
+
+def test_chunks_of_whole_nodes_mix_as_all_at_once(monkeypatch):
+    grams, n = np.unique(language_model.grams_of([b"abracadabra " * 20, b"the cat sat on the mat", b"", "läuft".encode()])[0], return_counts=True)
+    n[::5] = 0
+    batches = [pa.record_batch({"gram": grams[a: a + 3], "n": n[a: a + 3]}) for a in range(0, len(grams), 3)]
+    monkeypatch.setattr(language_model, "CHUNK", 4)
+    chunks = list(language_model._whole_nodes(batches))
+    assert len(chunks) > 5 and (np.concatenate([g for g, _ in chunks]) == grams).all() and (np.concatenate([k for _, k in chunks]) == n).all()
+    bits, upper = language_model.subtrees(grams, n)
+    parts = [language_model.subtrees(*c) for c in chunks]
+    assert np.allclose(np.concatenate([b for b, _ in parts]), bits)
+    want, got = dict(zip(upper[0], np.stack(upper[1:], 1))), defaultdict(float)
+    for _, u in parts:
+        for code, sums in zip(u[0], np.stack(u[1:], 1)):
+            got[code] = got[code] + sums
+    assert want.keys() == got.keys() and all(np.allclose(want[c], got[c]) for c in want)
+
+
+def test_scores_against_brute_force_context_tree_weighting(spark, odd_docs):
+    texts = [(r["doc_id"], (r["text"] or "").encode()) for r in odd_docs.collect()]
+    training = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2
+    of, log = context_tree_weighting([t for i, t in texts if training(i)])
+    assert abs(sum(10 ** log(tuple(b"e qui"), y) for y in range(256)) - 1) < 1e-9
+    rows = language_model.score(odd_docs, common.fold(7) != 2).collect()
+    got = sorted((r["doc_id"] or 0, round(r["score"], 3), round(r["bits_per_byte"], 4)) for r in rows)
+    want = sorted((i or 0, of(t), of(t) / -math.log10(2) / (len(t) + 1)) for i, t in texts)
+    assert np.allclose(np.array(got), np.array(want), rtol=1e-4, atol=2e-3)
+
+
+def test_scores_without_training_rows(odd_docs):
+    for r in language_model.score(odd_docs, F.lit(False)).collect():
+        assert (r["n_known"], r["train_tokens"]) == (0, 0) and abs(r["bits_per_byte"] - 8) < 1e-9
+
+
+def test_model_scores_held_out_texts(spark, sf):
+    from care_measures.llm.registry import QUERIES
+
+    rows = [r for r in QUERIES["op4_language_model"](spark, sf).collect() if r["held_out"]]
+    assert rows and sum(r["bits_per_byte"] for r in rows) / len(rows) < 3.5
 
 
 def test_log_gamma():

@@ -302,9 +302,9 @@ def learn_tree(rows: DataFrame) -> DataFrame:
         def logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 bits = np.frombuffer(b"".join(batch["bits"].to_pylist()), np.float32).reshape(-1, 8).astype(float)
-                yield pa.RecordBatch.from_arrays([batch["gram"], pa.array(tree.value.logs(batch["gram"].to_numpy(), bits))], ["gram", "log"])
+                yield pa.RecordBatch.from_arrays([batch["gram"], pa.array(tree.value.logs(batch["gram"].to_numpy(), bits).astype(np.float32))], ["gram", "log"])
 
-        out = stored(mixed.filter("gram IS NOT NULL").select("gram", "bits").mapInArrow(logs, "gram long, log double"), "gram-logs")
+        out = stored(mixed.filter("gram IS NOT NULL").select("gram", "bits").mapInArrow(logs, "gram long, log float"), "gram-logs")
         keep(out)
     return out
 
@@ -329,7 +329,9 @@ def score(docs: DataFrame, is_training) -> DataFrame:
     logs = learn_tree(rows)
     words, own = rows.select("block", "trained", "text").mapInArrow(_block_words, "block long, word long, n long"), Window.partitionBy("word")
     # a word comes once from each block, so one shuffle counts it and brings the count to its blocks
-    known = stored(words.select("block", "word", F.sum("n").over(own).alias("count"), F.row_number().over(own.orderBy("block")).alias("k")).filter("count > 0"), "known-words")
+    with temporary() as keep:
+        known = stored(words.select("block", "word", F.sum("n").over(own).alias("count"), F.row_number().over(own.orderBy("block")).alias("k")).filter("count > 0"), "known-words")
+        keep(known)
     tokens, types = (int(x or 0) for x in known.filter("k = 1").agg(F.sum("count"), F.count("*")).first())
     ends = rows.filter("trained").count()
     tokens, types = tokens + ends, types + (ends > 0)
@@ -361,7 +363,7 @@ def score(docs: DataFrame, is_training) -> DataFrame:
 
     block_grams = rows.select("block", "text").mapInArrow(_block_grams, "block long, gram long").join(logs, "gram")
     found = known.select("block", F.col("word").alias("key"), F.col("count").cast("double").alias("value"), F.lit(False).alias("gram")).unionByName(
-        block_grams.select("block", F.col("gram").alias("key"), F.col("log").alias("value"), F.lit(True).alias("gram")))
+        block_grams.select("block", F.col("gram").alias("key"), F.col("log").cast("double").alias("value"), F.lit(True).alias("gram")))
     scores = rows.select(ROW, "doc_id", "text", "block").groupBy("block").cogroup(found.groupBy("block")).applyInArrow(scored, OUT)
     return scores.withColumn("train_tokens", F.lit(tokens).cast("long"))
 

@@ -309,6 +309,37 @@ def learn_tree(rows: DataFrame) -> DataFrame:
     return out
 
 
+#: Rows of a task that are sent back to the blocks together.
+PACK = 1_000_000
+
+
+def _packed(key: str, value: str, kind: type):
+    """Rows (block, key, value) as one row for each block and up to PACK rows of a task: (block, gram, keys, values), bytes of both."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            block = rows["block"].to_numpy()
+            order = np.argsort(block, kind="stable")
+            block, keys, values = block[order], rows[key].to_numpy()[order].astype(np.int64), rows[value].to_numpy()[order].astype(kind)
+            starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            cuts = np.append(starts, len(block))
+            as_bytes = lambda x: pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer((cuts * x.itemsize).astype(np.int32).tobytes()), pa.py_buffer(x.tobytes())])
+            return pa.RecordBatch.from_arrays([pa.array(block[starts]), pa.array(np.full(len(starts), key == "gram")), as_bytes(keys), as_bytes(values)], ["block", "gram", "keys", "values"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= PACK:
+                yield done()
+                held = []
+        if held:
+            yield done()
+    return pack
+
+
+PACKED = "block long, gram boolean, keys binary, values binary"
 OUT_SCHEMA = pa.schema([(ROW, pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
                         ("score", pa.float64()), ("bits_per_byte", pa.float64())])
 OUT = f"{ROW} long, doc_id long, n_tokens long, n_known long, base_score double, score double, bits_per_byte double"
@@ -339,11 +370,12 @@ def score(docs: DataFrame, is_training) -> DataFrame:
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         found, out = {}, []
-        for gram in (False, True):
+        for gram, kind in ((False, np.int64), (True, np.float32)):
             rows = right.filter(pc.equal(right["gram"], gram))
+            keys, values = (np.frombuffer(b"".join(rows[c].to_pylist()), of) for c, of in (("keys", np.uint64), ("values", kind)))
             table = HashTable(18)
-            table.add(mix(rows["key"].to_numpy().view(np.uint64)) if gram else rows["key"].to_numpy().view(np.uint64))
-            found[gram] = table, np.append(rows["value"].to_numpy(), 0.0)
+            table.add(mix(keys) if gram else keys)
+            found[gram] = table, np.append(values.astype(float), 0.0)
         (table, counts), (grams, logs) = found[False], found[True]
         counts = np.log10(counts + 1)
         for batch in left.to_batches():
@@ -362,8 +394,8 @@ def score(docs: DataFrame, is_training) -> DataFrame:
         return pa.concat_tables(out) if out else OUT_SCHEMA.empty_table()
 
     block_grams = rows.select("block", "text").mapInArrow(_block_grams, "block long, gram long").join(logs, "gram")
-    found = known.select("block", F.col("word").alias("key"), F.col("count").cast("double").alias("value"), F.lit(False).alias("gram")).unionByName(
-        block_grams.select("block", F.col("gram").alias("key"), F.col("log").cast("double").alias("value"), F.lit(True).alias("gram")))
+    found = known.select("block", "word", "count").mapInArrow(_packed("word", "count", np.int64), PACKED).unionByName(
+        block_grams.select("block", "gram", "log").mapInArrow(_packed("gram", "log", np.float32), PACKED))
     scores = rows.select(ROW, "doc_id", "text", "block").groupBy("block").cogroup(found.groupBy("block")).applyInArrow(scored, OUT)
     return scores.withColumn("train_tokens", F.lit(tokens).cast("long"))
 

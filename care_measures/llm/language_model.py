@@ -18,7 +18,7 @@ from care_measures.llm.words import LOWER, HashTable, Words, blocks, mix, separa
 #: Bytes of context at most; the depth whose nodes are mixed on the driver: 65,536 contexts of 255 decisions at the very most.
 DEPTH, UPPER = 5, 2
 #: Bytes of text scored together, and grams that a task works on at once (more where one node just below UPPER has more).
-TOGETHER, CHUNK = 16_000_000, 100_000
+TOGETHER, CHUNK = 32_000_000, 100_000
 #: Begins and ends every text; no byte of UTF-8.
 EDGE = 255
 _GAPS = separators(b" \t\n\x0b\x0c\r")

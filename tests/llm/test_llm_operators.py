@@ -372,6 +372,71 @@ def test_network_gradients():
         assert abs((up - down) / (2 * e) - grads[name][at]) < 1e-3
 
 
+def test_network_gradients_of_windows_of_unequal_length():
+    network = language_id.BiGRU(2, state=3, seed=2)
+    network.p = {k: v.astype(np.float64) for k, v in network.p.items()}
+    x, y, lengths = language_id.rectangle([b"abcd", b"ca", b"b"], np.array([0, 1, 1]))
+    loss, grads = network.gradients(x, y, lengths)
+    for name, at in (("v", (0, 1)), ("uf", (1, 4)), ("ub", (2, 8)), ("gf", (97, 0)), ("gb", (98, 7)), ("c", (0,))):
+        p, e = network.p[name], 1e-5
+        p[at] += e
+        up = network.gradients(x, y, lengths)[0]
+        p[at] -= 2 * e
+        down = network.gradients(x, y, lengths)[0]
+        p[at] += e
+        assert abs((up - down) / (2 * e) - grads[name][at]) < 1e-6
+    parts = [network.gradients(np.frombuffer(w, np.uint8)[None], y[i: i + 1])[0] * len(w) for i, w in enumerate((b"abcd", b"ca", b"b"))]
+    assert abs(loss - sum(parts) / 7) < 1e-9
+
+
+def _read_plainly(network, text: bytes) -> np.ndarray:
+    """What the network says at each position of a text, one byte and one window at a time."""
+    h, p, out = network.state, network.p, []
+    soft = lambda v: v / (1 + abs(v))
+
+    def states(window, d):
+        s, said = np.zeros(h), []
+        for byte in window:
+            g, r = p[f"g{d}"][byte], s @ p[f"u{d}"]
+            z, reset = (0.5 + 0.5 * soft(g[k * h: (k + 1) * h] + r[k * h: (k + 1) * h]) for k in (0, 1))
+            new = soft(g[2 * h:] + reset * r[2 * h:])
+            s = z * s + (1 - z) * new
+            said.append(s)
+        return said
+    for core in range(0, len(text), language_id.CORE):
+        start, end = max(0, core - language_id.BEFORE), min(len(text), core + language_id.CORE + language_id.BEFORE)
+        window = text[start: end].lower()
+        both = np.hstack([states(window, "f"), states(window[::-1], "b")[::-1]])
+        e = np.exp(both @ p["v"] + p["c"])
+        out.append((e / e.sum(axis=1, keepdims=True))[core - start: core - start + language_id.CORE])
+    return np.concatenate(out) if out else np.zeros((0, p["c"].size))
+
+
+def test_every_position_is_labelled_as_by_plain_reading(monkeypatch):
+    monkeypatch.setattr(language_id, "TOGETHER", 3)
+    network, rng = language_id.BiGRU(3, state=4, seed=5), np.random.default_rng(8)
+    core, before = language_id.CORE, language_id.BEFORE
+    texts = [bytes(rng.integers(32, 255, n).astype(np.uint8)) for n in (0, 1, 5, core - 1, core, core + 1, core + before, 3 * core + 7, 0, 2 * core)]
+    sums, labels = language_id.Identifier(network, ["a", "b", "c"]).read(texts)
+    for text, total, label in zip(texts, sums, labels, strict=True):
+        said = _read_plainly(network, text.translate(language_id.LOWER))
+        assert np.allclose(said.sum(axis=0), total, atol=1e-3)
+        assert label.sum() == len(text) and abs(label - np.bincount(said.argmax(axis=1), minlength=3)).sum() <= 2
+
+
+def test_language_of_texts_longer_than_a_block(spark):
+    network = language_id.BiGRU(2, seed=3)
+    texts = ["Ab ", "lang " * 150_000, "né " * 700_000, "Ab "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = {r["doc_id"]: r for r in language_id.identify(docs, network, ["x", "y"]).collect()}
+    plain = language_id.Identifier(network, ["x", "y"])
+    for i, t in enumerate(texts):
+        sums, labels = plain.read([t.encode()])
+        best = int(sums[0].argmax())
+        assert rows[i]["lang_pred"] == "xy"[best] and rows[i]["n_labelled"] == labels[0, best] <= len(t.encode())
+        assert abs(rows[i]["score"] - sums[0, best] / sums[0].sum()) < 1e-6
+
+
 def test_language_held_out(spark, sf, corpus):
     from care_measures.llm.registry import QUERIES
 

@@ -15,6 +15,7 @@ from care_measures.llm.words import LOWER, blocks
 #: What is learned from: up to TRAIN_WINDOWS windows a language, WINDOWS_EACH of a document, TRAIN_LENGTH characters long.
 TRAIN_WINDOWS, WINDOWS_EACH, TRAIN_LENGTH = 2000, 4, 120
 STATE, STEPS, BATCH = 8, 300, 128
+PARTS = 8
 #: A window labels CORE bytes and reads up to BEFORE bytes on both sides of them, so that its states are warm there.
 CORE, BEFORE = 224, 32
 #: Windows that are read in step.
@@ -205,8 +206,10 @@ def learn(docs: DataFrame, train_windows: int = TRAIN_WINDOWS) -> tuple[BiGRU, l
     drawn = F.xxhash64("turn", "doc_id")
     place = F.pmod(drawn, F.greatest(F.length("text") - TRAIN_LENGTH, F.lit(0)) + 1) + 1
     windows = turns.select("lang", F.xxhash64("doc_id", "turn").alias("draw"), "doc_id", F.substr("text", place.cast("int"), F.lit(TRAIN_LENGTH)).alias("window"))
-    first = Window.partitionBy("lang").orderBy("draw", "doc_id", "window")
-    sample = windows.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= train_windows).select("lang", "window")
+    # An equal share of each of PARTS hash classes, small enough for Spark to cut the rows down before it shuffles them.
+    windows = windows.withColumn("part", F.pmod("draw", F.lit(PARTS)))
+    first = Window.partitionBy("lang", "part").orderBy("draw", "doc_id", "window")
+    sample = windows.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= train_windows // PARTS).select("lang", "window")
     rows = sorted((r["lang"], r["window"].encode().translate(LOWER)) for r in sample.collect())
     languages = sorted({lang for lang, _ in rows})
     network = BiGRU(max(1, len(languages)))

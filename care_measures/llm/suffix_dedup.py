@@ -68,34 +68,25 @@ class Names:
     def sampled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sampled positions, and the first and last window (start of LENGTH bytes) that belongs to each.
 
-        A window belongs to the leftmost of the least names in it: equal windows have their sample at the same place, so a window that
-        stands twice has a sample whose name does."""
-        value = self.seed
-        least, width = value, 1
+        A window belongs to the leftmost of the least names in it, of which the upper half counts: equal windows have their sample at the
+        same place, so a window that stands twice has a sample whose name does. The lower half of what is compared is the place."""
+        least, width = self.seed & _U(0xFFFFFFFF00000000) | np.arange(len(self.seed), dtype=np.uint64), 1
         while 2 * width <= _SPAN + 1:
             least, width = np.minimum(least[:-width], least[width:]), 2 * width
         least = np.minimum(least[: len(least) - (_SPAN + 1 - width)], least[_SPAN + 1 - width:])
         n = np.maximum(0, self.sizes - LENGTH + 1)
         windows = np.repeat(self.starts[:-1] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        low = least[windows]
+        at = (least[windows] & _U(0xFFFFFFFF)).astype(np.int64)
         new = np.ones(len(windows), bool)
-        new[1:] = (low[1:] != low[:-1]) | (windows[1:] != windows[:-1] + 1)
-        begin = np.flatnonzero(new)
-        last = windows[np.append(begin[1:], len(windows)) - 1] if len(begin) else begin
-        begin, low, out = windows[begin], low[begin], []
-        while len(begin):
-            at, todo = begin.copy(), np.arange(len(begin))
-            while len(todo):
-                todo = todo[value[at[todo]] != low[todo]]
-                at[todo] += 1
-            out.append((at, begin, np.minimum(at, last)))
-            on = last > at  # the least name stands there again, as in a text that repeats itself
-            begin, low, last = at[on] + 1, low[on], last[on]
-        if not out:
-            return (np.zeros(0, np.int64),) * 3
-        at, begin, last = (np.concatenate(c) for c in zip(*out, strict=True))
-        order = np.argsort(at, kind="stable")
-        return at[order], begin[order], last[order]
+        new[1:] = at[1:] != at[:-1]
+        first = np.flatnonzero(new)
+        last = windows[np.append(first[1:], len(windows)) - 1] if len(first) else first
+        return at[first], windows[first], last
+
+    def seeds(self, at: np.ndarray) -> np.ndarray:
+        """Names of the strings of SEED bytes at sampled positions, mixed anew: those sampled are the least of many, and would crowd into a
+        small part of a filter."""
+        return mix(self.seed[at])
 
     def text_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, at, side="right") - 1
@@ -126,7 +117,7 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, texts in blocks(batch, size=_BLOCK):
             names = Names(texts)
-            parts.append(names.seed[names.sampled()[0]])
+            parts.append(names.seeds(names.sampled()[0]))
             held += len(parts[-1])
             if held > _HELD:
                 yield _counted(parts)
@@ -186,26 +177,27 @@ def _firsts(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(shared: Broadcast):
-    """For sampled positions whose name may stand elsewhere: names of all that their windows can hold."""
+    """For sampled positions whose name may stand elsewhere: names of all that their windows hold."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
             doc, row = batch["doc_order"].to_numpy(), batch[ROW].to_numpy()
             for first, texts in blocks(batch, size=_BLOCK):
                 names = Names(texts)
-                at, _, _ = names.sampled()
-                at = at[_holds(shared.value, names.seed[at])]
-                text = names.text_of(at)
+                at, low, high = names.sampled()
+                seeds = names.seeds(at)
+                keep = _holds(shared.value, seeds)
+                low, high, seeds = low[keep], high[keep], seeds[keep]
+                text = names.text_of(low)
                 origin = names.starts[text]
-                begin, end = np.maximum(at - _SPAN, origin), np.minimum(at + LENGTH, origin + names.sizes[text])
-                a = names.wide(at - _SPAN, at - _SPAN + 64, at + LENGTH - 64)
-                yield [a, names.second(at - _SPAN, at + LENGTH), doc[first + text], row[first + text], begin - origin, end - origin, names.seed[at]]
+                a = names.wide(low, (low + high + LENGTH - 64) // 2, high + LENGTH - 64)
+                yield [a, names.second(low, high + LENGTH), doc[first + text], row[first + text], low - origin, high - origin + LENGTH, seeds]
     return lambda batches: _own_firsts(found(batches))
 
 
 def _steps(names: Names, mixed: np.ndarray) -> tuple[np.ndarray, ...]:
     """Groups of STEP windows of the sampled positions that are left: first and last window, and the name of what all of the group hold."""
     at, low, high = names.sampled()
-    keep = _holds(mixed, names.seed[at])
+    keep = _holds(mixed, names.seeds(at))
     at, low, high = at[keep], low[keep], high[keep]
     near, far = (at - high) // STEP, (at - low) // STEP
     n = far - near + 1
@@ -308,7 +300,7 @@ def suffix_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
     A byte is removed if a string of LENGTH bytes around it also starts earlier: in a row with smaller doc_id (of equal ones, one read
     earlier; a null doc_id counts as the largest) or earlier in the same text. Prefix doubling names strings of 32 bytes
     at every position, sampled positions are ranked by these names, and those whose name is unique drop out. What is left is named anew
-    at growing precision: all that the windows of a position can hold, all that eight windows in a row hold, and at last the single
+    at growing precision: all that the windows of a position hold, all that eight windows in a row hold, and at last the single
     windows of LENGTH bytes; where a name has stood earlier all its windows are covered, and only where what the windows have
     in common stands in different surroundings is the next round needed. Every round is a shuffle of names of what is
     still undecided; the texts are not moved but those of which something is removed.
@@ -322,8 +314,7 @@ def suffix_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
     undecided = lambda places: _filter(again(places.filter("NOT again").select("name", F.lit(1).alias("n")), "name"), "name")
 
     def covered(places: DataFrame) -> DataFrame:
-        # a context shorter than a window holds none
-        found = places.filter(f"again AND end - start >= {LENGTH}").groupBy(ROW).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        found = places.filter("again").groupBy(ROW).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
         return stored(found.mapInArrow(_merged, f"{ROW} long, spans array<struct<start: long, end: long>>"), "spans")
 
     # Each round's places go once their spans and the names that are still undecided are known.

@@ -8,6 +8,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -193,6 +194,38 @@ def test_suffix_dedup_edges(spark, odd_docs, tmp_path):
     assert pairs_of(got, *columns) == sorted(brute_removed(texts))
 
 
+def test_suffix_dedup_samples_own_every_window_and_spread_over_the_filter():
+    rng = np.random.default_rng(3)
+    texts = [rng.choice(np.arange(97, 123, dtype=np.uint8), int(n)).tobytes() for n in rng.integers(0, 4000, 40)] + [b"a" * 300, b"ab" * 200, b"", b"x" * 99]
+    names = suffix_dedup.Names(texts)
+    at, low, high = names.sampled()
+    windows = np.concatenate([np.arange(a, b + 1) for a, b in zip(low, high)])
+    assert windows.tolist() == [int(o) + k for o, t in zip(names.starts, texts) for k in range(len(t) - suffix_dedup.LENGTH + 1)]
+    assert (low <= at).all() and (at >= high).all() and (at + suffix_dedup.SEED <= low + suffix_dedup.LENGTH).all()
+    seeds = np.unique(names.seeds(at))
+    assert 0.45 < (seeds >> np.uint64(63)).mean() < 0.55  # the least of many names would all lie in the lower half
+
+
+def test_suffix_dedup_contexts_reach_as_far_as_windows_do():
+    """Equal windows in different surroundings make equal contexts, so that nothing is left for the next round."""
+    rng = np.random.default_rng(4)
+    passage, ends = rng.choice(list("abcdefgh"), 600), rng.choice(list("ijklmnop"), (2, 2, 200))
+    texts = ["".join([*a, *passage, *b]) for a, b in ends]
+    places = []
+    for text in texts:
+        names = suffix_dedup.Names([text.encode()])
+        at, low, high = names.sampled()
+        inner = (low >= names.starts[0] + 200) & (high + suffix_dedup.LENGTH <= names.starts[0] + 800)
+        places.append((names.seeds(at), inner))
+    shared = SimpleNamespace(value=np.full(1 << suffix_dedup.FILTER_BITS, 2**64 - 1, np.uint64))
+    names = []
+    for row, text in enumerate(texts):
+        batch = pa.RecordBatch.from_pydict({"doc_order": [row], "__row": [row], "text": [text]})
+        names.append({r["name"]: (r["a"], r["b"], r["end"] - r["start"]) for out in suffix_dedup._contexts(shared)(iter([batch])) for r in out.to_pylist() if not r["covered"]})
+    within = [int(x) for x in places[0][0][places[0][1]].view(np.int64)]
+    assert len(within) > 8 and all(names[0][x] == names[1][x] for x in within)
+
+
 # tokens and packing
 
 @pytest.mark.parametrize("path", [BYTE, WORD])

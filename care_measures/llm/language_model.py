@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from care_measures.llm.common import ROW, documents, fold, keyed, stored, temporary
-from care_measures.llm.words import LOWER, HashTable, Words, blocks, mix, separators
+from care_measures.llm.words import LOWER, HashTable, Words, blocks, distinct, mix, separators
 
 #: Bytes of context at most; the depth whose nodes are mixed on the driver: 65,536 contexts of 255 decisions at the very most.
 DEPTH, UPPER = 5, 2
@@ -84,7 +84,7 @@ def _block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block, parts = None, []
 
     def done():
-        keys = np.unique(np.concatenate(parts))
+        keys = distinct(np.concatenate(parts))
         for at in range(0, len(keys), CHUNK):
             some = keys[at: at + CHUNK]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block, np.int64)), pa.array(some)], ["block", "gram"])
@@ -94,9 +94,9 @@ def _block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if parts:
                 yield from done()
             block, parts = own, []
-        parts += [np.unique(grams_of(texts)[0]) for _, texts in blocks(batch)]
+        parts += [distinct(grams_of(texts)[0]) for _, texts in blocks(batch)]
         if sum(map(len, parts)) > 4 * max(len(parts[0]), 250_000):
-            parts = [np.unique(np.concatenate(parts))]
+            parts = [distinct(np.concatenate(parts))]
     if parts:
         yield from done()
 

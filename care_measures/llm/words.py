@@ -47,6 +47,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order: np.unique puts them into a hash table first, which takes ten times as long as sorting them."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]])]
+
+
 def blocks(batch: pa.RecordBatch, column: str = "text", size: int = 500_000) -> Iterator[tuple[int, list[bytes]]]:
     """The texts of a batch as UTF-8 in runs of about size bytes, with the place of the first: never a part of a text."""
     texts, block, first, held = batch[column].cast(pa.binary()).to_pylist(), [], 0, 0

@@ -69,6 +69,17 @@ def temporary() -> Iterator[Callable[..., None]]:
         _release_shuffles()
 
 
+def done_with(*tables: DataFrame) -> None:
+    """Deletes tables stored in the open block that no later step reads, before the block ends; tables stored elsewhere stay."""
+    if _temporary.get():
+        own = _temporary.get()[-1]
+        for path, table in own:
+            if any(table is t for t in tables):
+                drop_stored(table, path)
+        own[:] = [x for x in own if not any(x[1] is t for t in tables)]
+        _release_shuffles()
+
+
 def _release_shuffles() -> None:
     """Lets Spark delete the shuffle files of steps that are done: it does once the driver's JVM has collected their handles,
     which a large heap may put off until the disks of the executors are full."""

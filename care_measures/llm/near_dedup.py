@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from care_measures.llm.common import ROW, documents, keyed, numbered, stored, temporary
+from care_measures.llm.common import ROW, documents, done_with, keyed, numbered, stored, temporary
 from care_measures.llm.words import LOWER, Words, blocks, forget, mix, separators
 
 SHINGLE, PERCENT = 5, 85
@@ -83,8 +83,8 @@ def similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -
     return at
 
 
-_SKETCH = pa.schema([(ROW, pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64())), ("registers", pa.binary())])
-SKETCH = f"{ROW} long, doc_id long, n_shingles long, digest binary, keys array<long>, registers binary"
+_SKETCH = pa.schema([(ROW, pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64()))])
+SKETCH = f"{ROW} long, doc_id long, n_shingles long, digest binary, keys array<long>"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,23 +95,29 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.diff(starts)
             some = np.flatnonzero(sizes)
             digests = [hashlib.blake2b(flat[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(starts[:-1], starts[1:], strict=True)]
-            keys, sketch = [None] * len(texts), [None] * len(texts)
+            keys = [None] * len(texts)
             if len(some):
                 own = registers(flat, np.append(starts[:-1][some], len(flat)))
                 spread = mix(own.reshape(len(some), BANDS, BAND_SIZE).astype(np.uint64) * _PLACES[:BAND_SIZE] + np.arange(1, BAND_SIZE + 1, dtype=np.uint64))
                 bands = mix(spread.sum(axis=2)).view(np.int64)
                 for k, i in enumerate(some):
-                    keys[i], sketch[i] = bands[k], own[k].tobytes()
+                    keys[i] = bands[k]
             yield pa.RecordBatch.from_arrays(
-                [part[ROW], part["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], schema=_SKETCH)
+                [part[ROW], part["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], schema=_SKETCH)
+
+
+_SETS = pa.schema([(ROW, pa.int64()), ("n_shingles", pa.int64()), ("registers", pa.binary()), ("shingles", pa.binary())])
+SETS = f"{ROW} long, n_shingles long, registers binary, shingles binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of texts that have one, and their registers."""
     for batch in batches:
         for first, texts in blocks(batch):
             flat, starts = shingle_sets(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.slice(first, len(texts))[ROW], pa.array([flat[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)], pa.binary())], [ROW, "shingles"])
+                [batch.slice(first, len(texts))[ROW], pa.array(np.diff(starts), pa.int64()), pa.array([r.tobytes() for r in registers(flat, starts)], pa.binary()),
+                 pa.array([flat[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)], pa.binary())], schema=_SETS)
 
 
 def _array(column: pa.Array, dtype) -> list[np.ndarray]:
@@ -205,7 +211,7 @@ def _compared(percent: int):
     return compare
 
 
-def crossing(apart: DataFrame, sets: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+def crossing(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that connect all rows of apart (__row, component) that are linked but in different components.
 
     Linked sets share a rare shingle; what rare shingles connect is a family, so sets that have only much-used lines and
@@ -222,8 +228,9 @@ def crossing(apart: DataFrame, sets: DataFrame, sketched: DataFrame, percent: in
     met = stored(met.filter("low != high AND indexed").select("shingle", "first"), "met")
     family = components(rare.join(met, "shingle").select(F.col("first").alias("a"), F.col(ROW).alias("b")).filter("a != b").distinct())
     size_class = F.floor(F.log("n_shingles") / float(np.log(100 / percent))).cast("int")
-    members = own.join(family.select(F.col("node").alias(ROW), F.col("component").alias("family")), ROW).join(sketched, ROW).withColumn("size_class", size_class)
+    members = own.join(family.select(F.col("node").alias(ROW), F.col("component").alias("family")), ROW).withColumn("size_class", size_class)
     members = stored(members.select(ROW, "component", "family", "size_class", F.col("n_shingles").alias("n"), "registers", "shingles"), "members")
+    done_with(own, rare, met)
     parts = stored(members.groupBy("family", "size_class").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "parts")
     beside = lambda step: parts.select("family", (F.col("size_class") + step).alias("size_class"), F.col("parts").alias("above" if step < 0 else "below"))
     parts = parts.join(beside(-1), ["family", "size_class"], "left").join(beside(1), ["family", "size_class"], "left").fillna(0, ["above", "below"])
@@ -274,16 +281,23 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     largest; of rows with equal doc_id the first one read is kept. Repeated rows are one class. An empty table gives
     no rows; other columns are not read."""
     with temporary() as keep:
-        rows = keyed(numbered(docs))
+        docs = numbered(docs)
+        rows = keyed(docs)
         sketches = stored(rows.mapInArrow(_sketches, SKETCH), "sketches")
-        classes = stored(sketches.filter("n_shingles > 0").groupBy("digest").agg(F.min(ROW).alias("class")), "classes")
-        firsts = sketches.join(classes.select(F.col("class").alias(ROW)), ROW, "left_semi")
-        bands = firsts.select(ROW, F.posexplode("keys").alias("band", "key"))
+        # what is wide, keys and texts, is shuffled once at most, and deleted before the next step stores sets
+        classes = sketches.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct(ROW, "keys")).alias("first"))
+        classes = stored(classes.select("digest", F.col(f"first.{ROW}").alias("class"), "first.keys"), "classes")
+        named = sketches.select(ROW, "doc_id", "n_shingles", "digest").join(classes.select("digest", "class"), "digest", "left")
+        named = stored(named.select(ROW, "doc_id", "n_shingles", F.coalesce("class", ROW).alias("class")), "classed")
+        done_with(sketches)
+        bands = classes.select(F.col("class").alias(ROW), F.posexplode("keys").alias("band", "key"))
         shared = stored(bands.groupBy("band", "key").agg(F.count("*").alias("n"), F.min(ROW).alias("first")).filter("n > 1").drop("n"), "buckets")
         crowded = stored(bands.join(shared, ["band", "key"]), "crowded")
+        done_with(classes, shared)
         busy = stored(crowded.select(ROW).distinct(), "busy")
-        sets = stored(rows.join(busy, ROW, "left_semi").mapInArrow(_sets, f"{ROW} long, shingles binary"), "sets")
-        sketched = stored(firsts.join(busy, ROW, "left_semi").select(ROW, "n_shingles", "registers"), "registers")
+        sets = stored(rows.join(busy, ROW, "left_semi").mapInArrow(_sets, SETS), "sets")
+        done_with(docs, busy)
+        sketched = sets.select(ROW, "n_shingles", "registers")
         least = percent / 100 - MARGIN
 
         def estimated(pairs: DataFrame) -> DataFrame:
@@ -302,10 +316,9 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         placed = stored(placed, "placed")
         split = stored(placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("band", "key"), "split")
         apart = stored(placed.join(split, ["band", "key"]).select(ROW, "component").distinct(), "apart")
-        more = stored(crossing(apart, sets, sketched, percent), "across")
+        more = stored(crossing(apart, sets, percent), "across")
         if not more.isEmpty():
             found = components(links.unionByName(more))
-        named = sketches.select(ROW, "doc_id", "n_shingles", "digest").join(classes, "digest", "left").select(ROW, "doc_id", "n_shingles", F.coalesce("class", ROW).alias("class"))
         named = stored(named.join(found.withColumnRenamed("node", "class"), "class", "left").select(ROW, "doc_id", "n_shingles", F.coalesce("component", "class").alias("component")), "named")
         chosen = stored(named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")), "chosen")
         keep(named, chosen)

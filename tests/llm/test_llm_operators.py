@@ -8,6 +8,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
@@ -109,6 +110,29 @@ def test_near_dedup_edges(odd_docs):
     assert {r["doc_id"] for r in rows if r["component_id"] == 8} == {8, None}
 
 
+def test_near_dedup_drops_what_no_later_step_reads(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(near_documents(), "doc_id long, text string, lang string").write.parquet(str(tmp_path / "d"))
+    folder, held, real = Path(common.shared_dir(spark)) / "llm", {}, near_dedup.stored
+    before = {x.name for x in folder.iterdir()} if folder.is_dir() else set()
+
+    def stored(df, name):
+        out = real(df, name)
+        held.setdefault(name, {x.name.rsplit("-", 1)[0] for x in folder.iterdir() if x.name not in before})
+        return out
+
+    monkeypatch.setattr(near_dedup, "stored", stored)
+    monkeypatch.setattr(common, "stored", stored)
+    near_dedup.near_dedup(spark.read.parquet(str(tmp_path / "d"))).collect()
+    assert "numbered" in held["sets"] and not {"numbered", "sketches", "classes"} & held["best"]
+    assert not {"apart-sets", "prefixes"} & held["parts"]
+
+
+def test_near_dedup_keeps_tables_of_its_caller(spark, odd_docs):
+    docs = common.numbered(odd_docs)
+    near_dedup.near_dedup(docs).collect()
+    assert docs.count() == 14
+
+
 def test_sketch_estimates_and_merges():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**63, 3000, dtype=np.uint64)

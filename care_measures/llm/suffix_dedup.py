@@ -96,6 +96,10 @@ def _holds(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
     return (bits[(names >> _U(64 - FILTER_BITS)).astype(np.int64)] >> ((names >> _U(58 - FILTER_BITS)) & _U(63))) & _U(1) == 1
 
 
+def _place_names(row: np.ndarray, start: np.ndarray) -> np.ndarray:
+    return mix(row.view(np.uint64) ^ mix(start.view(np.uint64)))
+
+
 def _filter(names: DataFrame, column: str) -> Broadcast:
     """A filter of fixed size that all names of a column pass."""
     word = F.shiftrightunsigned(column, 64 - FILTER_BITS)
@@ -172,7 +176,7 @@ def _firsts(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
     yield from _in_slices(pa.RecordBatch.from_arrays(
         [pa.array(c[first].view(np.int64)) for c in (a, b, doc, row, start, end, name)] + [pa.array(np.zeros(int(first.sum()), bool))], schema=_PLACES), 50_000)
     row, start, end = _spans(row[~first], start[~first], end[~first])
-    key, none = mix(row.view(np.uint64) ^ mix(start.view(np.uint64))).view(np.int64), np.zeros(len(row), np.int64)
+    key, none = _place_names(row, start).view(np.int64), np.zeros(len(row), np.int64)
     yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, row, none, row, start, end, none)] + [pa.array(np.ones(len(row), bool))], schema=_PLACES)
 
 
@@ -194,46 +198,73 @@ def _contexts(shared: Broadcast):
     return lambda batches: _own_firsts(found(batches))
 
 
-def _steps(names: Names, mixed: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Groups of STEP windows of the sampled positions that are left: first and last window, and the name of what all of the group hold."""
+class Undecided:
+    """Filters of the names that a round leaves undecided, and of their places that no earlier one equals. The others are covered, and
+    whoever stands again as they do stands again as the first place of their name does, so that only first places go on."""
+
+    def __init__(self, places: DataFrame):
+        firsts = places.filter("NOT again").select(ROW, "start", "name")
+        self.names = _filter(firsts.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "name")
+        self.places = _filter(firsts.mapInArrow(_first_places(self.names), "name long"), "name")
+
+    def keep(self, names: np.ndarray, row: np.ndarray, start: np.ndarray) -> np.ndarray:
+        return _holds(self.names.value, names) & _holds(self.places.value, _place_names(row, start))
+
+    def destroy(self) -> None:
+        self.names.destroy()
+        self.places.destroy()
+
+
+def _first_places(undecided: Broadcast):
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, start, name = (batch[c].to_numpy() for c in (ROW, "start", "name"))
+            keep = _holds(undecided.value, name.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(_place_names(row[keep], start[keep]).view(np.int64))], ["name"])
+    return places
+
+
+def _steps(names: Names, row: np.ndarray, mixed: Undecided) -> tuple[np.ndarray, ...]:
+    """Groups of STEP windows of the sampled positions that are left: text, first and last window, and the name of what all of the group hold."""
     at, low, high = names.sampled()
-    keep = _holds(mixed, names.seeds(at))
-    at, low, high = at[keep], low[keep], high[keep]
+    text = names.text_of(low)
+    keep = mixed.keep(names.seeds(at), row[text], low - names.starts[text])
+    at, low, high, text = at[keep], low[keep], high[keep], text[keep]
     near, far = (at - high) // STEP, (at - low) // STEP
     n = far - near + 1
     who = np.repeat(np.arange(len(at)), n)
     group = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + near[who]
     core = at[who] - STEP * group
     first, last = np.maximum(core - STEP + 1, low[who]), np.minimum(core, high[who])
-    return first, last, names.wide(core, core + LENGTH - STEP + 1 - 64)
+    return text[who], first, last, names.wide(core, core + LENGTH - STEP + 1 - 64)
 
 
-def _groups(mixed: Broadcast):
+def _groups(mixed: Undecided):
     """For groups of windows of the positions that are left: names of all that the group holds."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
             doc, row = batch["doc_order"].to_numpy(), batch[ROW].to_numpy()
             for block, texts in blocks(batch, size=_BLOCK):
                 names = Names(texts)
-                first, last, core = _steps(names, mixed.value)
-                text = names.text_of(first)
+                text, first, last, core = _steps(names, row[block:], mixed)
                 origin = names.starts[text]
                 a = names.wide(first, last + LENGTH - 64)
                 yield [a, names.second(first, last + LENGTH), doc[block + text], row[block + text], first - origin, last - origin + LENGTH, core]
     return lambda batches: _own_firsts(found(batches))
 
 
-def _windows(mixed: Broadcast, shared: Broadcast):
+def _windows(mixed: Undecided, cores: Undecided):
+    """For groups of windows that are left: names of their windows."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
             doc, row = batch["doc_order"].to_numpy(), batch[ROW].to_numpy()
             for block, texts in blocks(batch, size=_BLOCK):
                 names = Names(texts)
-                first, last, core = _steps(names, mixed.value)
-                keep = _holds(shared.value, core)
+                text, first, last, core = _steps(names, row[block:], mixed)
+                keep = cores.keep(core, row[block + text], first - names.starts[text])
                 first, n = first[keep], (last - first + 1)[keep]
                 at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                text = names.text_of(at)
+                text = np.repeat(text[keep], n)
                 start = at - names.starts[text]
                 yield [names.wide(at, at + LENGTH - 64), names.second(at, at + LENGTH), doc[block + text], row[block + text], start, start + LENGTH, np.zeros(len(at), np.uint64)]
     return lambda batches: _own_firsts(found(batches))
@@ -302,8 +333,8 @@ def suffix_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
     at every position, sampled positions are ranked by these names, and those whose name is unique drop out. What is left is named anew
     at growing precision: all that the windows of a position hold, all that eight windows in a row hold, and at last the single
     windows of LENGTH bytes; where a name has stood earlier all its windows are covered, and only where what the windows have
-    in common stands in different surroundings is the next round needed. Every round is a shuffle of names of what is
-    still undecided; the texts are not moved but those of which something is removed.
+    in common stands in different surroundings is the next round needed, for the first place of each name alone. Every round is a shuffle
+    of names of what is still undecided; the texts are not moved but those of which something is removed.
 
     A null text is an empty one; texts shorter than LENGTH lose nothing. Repeated rows are copies of the first. An empty table gives no rows;
     other columns are not read."""
@@ -311,25 +342,28 @@ def suffix_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
     rows = keyed(docs)
     ordered = rows.select(ROW, F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_order"), "text")
     again = lambda df, c: df.groupBy(c).agg(F.sum("n").alias("n")).filter("n > 1").select(c)
-    undecided = lambda places: _filter(again(places.filter("NOT again").select("name", F.lit(1).alias("n")), "name"), "name")
 
     def covered(places: DataFrame) -> DataFrame:
         found = places.filter("again").groupBy(ROW).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
         return stored(found.mapInArrow(_merged, f"{ROW} long, spans array<struct<start: long, end: long>>"), "spans")
 
     # Each round's places go once their spans and the names that are still undecided are known.
-    shared = _filter(again(rows.select("text").mapInArrow(_seeds, "name long, n long"), "name"), "name")
+    with temporary():
+        shared = _filter(again(rows.select("text").mapInArrow(_seeds, "name long, n long"), "name"), "name")
     with temporary() as keep:
         contexts = _ranked(ordered.mapInArrow(_contexts(shared), PLACES), "contexts")
-        mixed, first = undecided(contexts), covered(contexts)
+        mixed, first = Undecided(contexts), covered(contexts)
         keep(first)
+    shared.destroy()
     with temporary() as keep:
         groups = _ranked(ordered.mapInArrow(_groups(mixed), PLACES), "groups")
-        cores, second = undecided(groups), covered(groups)
+        cores, second = Undecided(groups), covered(groups)
         keep(second)
     with temporary() as keep:
         third = covered(_ranked(ordered.mapInArrow(_windows(mixed, cores), PLACES), "windows"))
         keep(third)
+    mixed.destroy()
+    cores.destroy()
     with temporary() as keep:
         found = first.unionByName(second).unionByName(third).groupBy(ROW).agg(F.flatten(F.collect_list("spans")).alias("spans"))
         spans = stored(found.mapInArrow(_merged, f"{ROW} long, spans array<struct<start: long, end: long>>"), "spans")

@@ -250,6 +250,33 @@ def test_suffix_dedup_contexts_reach_as_far_as_windows_do():
     assert len(within) > 8 and all(names[0][x] == names[1][x] for x in within)
 
 
+def test_suffix_dedup_rounds_send_first_places_only(spark, tmp_path, monkeypatch):
+    """What an earlier round covered is not sent again, and what only the later rounds can cover is found all the same."""
+    rng = np.random.default_rng(6)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    passages = [draw("abcdefgh", 600) for _ in range(4)]
+    texts = [(i, draw("ijklmnop", 150) + passages[i % 4][i % 7: 600 - i % 5] + draw("qrstuvwx", 150)) for i in range(80)]
+    texts += [(0, texts[0][1]), (None, texts[5][1]), (None, passages[0]), (90, None), (91, passages[1][:99])]
+    spark.createDataFrame(texts, "doc_id long, text string").repartition(6).write.parquet(str(tmp_path / "d"))
+    rounds, ranked = {}, suffix_dedup._ranked
+
+    def kept(places, name):
+        out = ranked(places, name)
+        rounds[name] = out.collect()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "_ranked", kept)
+    got = suffix_dedup.suffix_dedup(spark.read.parquet(str(tmp_path / "d")))
+    assert pairs_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(brute_removed(texts), key=lambda t: (t[0] is None, t))
+    covered = defaultdict(list)
+    for name in ("contexts", "groups", "windows"):
+        sent = [(r["__row"], r["start"], r["end"]) for r in rounds[name]]
+        assert sent and not any(a <= start and end <= b for row, start, end in sent for a, b in covered[row])
+        for r in rounds[name]:
+            if r["again"]:
+                covered[r["__row"]].append((r["start"], r["end"]))
+
+
 # tokens and packing
 
 @pytest.mark.parametrize("path", [BYTE, WORD])

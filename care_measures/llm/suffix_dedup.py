@@ -17,8 +17,9 @@ from care_measures.llm.words import blocks, mix, powers
 LENGTH, SEED = 100, 32
 #: Windows around a sampled position that are told apart in one step.
 STEP = 8
-#: Words of 64 bits in the filters that are sent to the tasks: 16 MB whatever the corpus. They only spare work.
-FILTER_BITS = 21
+#: Words of 64 bits in the filters that are sent to the tasks, as powers of two: 16 MB, and up to 64 MB so that there are eight bits a name
+#: as long as it goes. They only spare work.
+FILTER_BITS, MOST_FILTER_BITS = 21, 23
 _SPAN = LENGTH - SEED
 _PAD = b"\xff" * LENGTH
 _U = np.uint64
@@ -93,19 +94,26 @@ class Names:
 
 
 def _holds(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
-    return (bits[(names >> _U(64 - FILTER_BITS)).astype(np.int64)] >> ((names >> _U(58 - FILTER_BITS)) & _U(63))) & _U(1) == 1
+    size = len(bits).bit_length() - 1
+    return (bits[(names >> _U(64 - size)).astype(np.int64)] >> ((names >> _U(58 - size)) & _U(63))) & _U(1) == 1
 
 
 def _place_names(row: np.ndarray, start: np.ndarray) -> np.ndarray:
     return mix(row.view(np.uint64) ^ mix(start.view(np.uint64)))
 
 
+def _filter_bits(names: int) -> int:
+    return min(MOST_FILTER_BITS, max(FILTER_BITS, (8 * names // 64).bit_length()))
+
+
 def _filter(names: DataFrame, column: str) -> Broadcast:
-    """A filter of fixed size that all names of a column pass."""
-    word = F.shiftrightunsigned(column, 64 - FILTER_BITS)
-    bit = F.shiftrightunsigned(column, 58 - FILTER_BITS).bitwiseAND(63).cast("int")
+    """A filter that all names of a column pass, of a size that suits their number."""
+    names = stored(names.select(column), "names")
+    size = _filter_bits(names.count())
+    word = F.shiftrightunsigned(column, 64 - size)
+    bit = F.shiftrightunsigned(column, 58 - size).bitwiseAND(63).cast("int")
     got = names.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    table, bits = got.toArrow(), np.zeros(1 << FILTER_BITS, np.uint64)
+    table, bits = got.toArrow(), np.zeros(1 << size, np.uint64)
     bits[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
     return names.sparkSession.sparkContext.broadcast(bits)
 
@@ -368,7 +376,8 @@ def suffix_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
         found = first.unionByName(second).unionByName(third).groupBy(ROW).agg(F.flatten(F.collect_list("spans")).alias("spans"))
         spans = stored(found.mapInArrow(_merged, f"{ROW} long, spans array<struct<start: long, end: long>>"), "spans")
         keep(spans)
-    touched = _filter(spans.mapInArrow(_row_names, "name long"), "name")
+    with temporary():
+        touched = _filter(spans.mapInArrow(_row_names, "name long"), "name")
     texts = rows.mapInArrow(_texts(touched), f"{ROW} long, doc_id long, n_bytes long, bytes binary, sha string")
     return texts.join(spans, ROW, "left").mapInArrow(_cut(with_text), f"{ROW} long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary")
 

@@ -277,6 +277,16 @@ def test_suffix_dedup_rounds_send_first_places_only(spark, tmp_path, monkeypatch
                 covered[r["__row"]].append((r["start"], r["end"]))
 
 
+@pytest.mark.parametrize("n", [0, 50, 4000])
+def test_suffix_dedup_filters_grow_with_their_names(spark, monkeypatch, n):
+    monkeypatch.setattr(suffix_dedup, "FILTER_BITS", 4)
+    rng = np.random.default_rng(8)
+    own, others = (rng.integers(0, 2**64, k, dtype=np.uint64) for k in (n, 5000))
+    filled = suffix_dedup._filter(spark.createDataFrame([(int(x),) for x in own.view(np.int64)], "name long").repartition(3), "name").value
+    assert suffix_dedup._holds(filled, own).all() and suffix_dedup._holds(filled, others).mean() < 0.2
+    assert 1024 <= 64 * len(filled) <= max(1024, 16 * n)
+
+
 # tokens and packing
 
 @pytest.mark.parametrize("path", [BYTE, WORD])

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from care_measures.llm.common import ROW, documents, done_with, keyed, numbered, stored, temporary
 from care_measures.llm.words import LOWER, Words, blocks, forget, mix, separators
@@ -20,10 +20,12 @@ REGISTERS = BANDS * BAND_SIZE
 BASE, RATE, LARGEST = 1.001, 20.0, 65535
 #: Candidates whose estimate is further below the threshold than that are dropped: over six standard errors at 160 registers.
 MARGIN = 0.2
-#: Bits of the table that shingles are counted in, to tell rare ones.
-FREQUENCY_BITS = 20
-#: Rows that are compared with as many others in one task.
-BLOCK = 512
+#: Shingles and rows that are compared with as many others in one task.
+BLOCK_SHINGLES, BLOCK_ROWS = 1 << 20, 2048
+#: Shingles that leave a Python worker at once, and pairs that are listed or estimated at once.
+SHINGLES, PAIRS = 1 << 19, 1 << 21
+#: A shingle of so few pairs of rows that this many times them are fewer than all pairs is counted pair by pair.
+SPARSE = 256
 _GAPS = separators(b" \t\n\x0b\x0c\r")
 _RNG = np.random.default_rng(85)
 _FLIPS, _FACTORS = _RNG.integers(0, 2**63, REGISTERS, dtype=np.uint64), _RNG.integers(0, 2**62, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -146,67 +148,104 @@ def _verified(percent: int):
     return verify
 
 
-def _bucket(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
-
-
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << FREQUENCY_BITS, np.int64)
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each set."""
     for batch in batches:
-        for s in _array(batch["shingles"], np.uint64):
-            np.add.at(counts, _bucket(s), 1)
-    there = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], ["bucket", "n"])
+        sets, row, component = _array(batch["shingles"], np.uint64), batch[ROW].to_numpy(), batch["component"].to_numpy()
+        sizes = np.array([len(s) for s in sets], np.int64)
+        for at in np.split(np.arange(len(sets)), np.flatnonzero(np.diff(np.cumsum(sizes) // SHINGLES)) + 1):
+            if len(at):
+                shingle = np.concatenate(sets[at[0]: at[-1] + 1]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.repeat(row[at], sizes[at]), np.repeat(component[at], sizes[at]), shingle)], [ROW, "component", "shingle"])
+
+
+def rarest(own: DataFrame, percent: int) -> DataFrame:
+    """(__row, component, shingle, indexed): the rarest shingles of each set, as many as decide, without those of one component only.
+
+    Two sets that are linked share one of the larger set's first n - ceil(t n) + 1 and of the smaller set's first
+    n - ceil(2 t / (1 + t) n) + 1, in any order that all sets have in common. Here what one component has alone comes first, and
+    then what fewer sets have. Shingles are counted one by one, so what is rare stays so however many there are."""
+    of_shingle, of_row = Window.partitionBy("shingle"), Window.partitionBy(ROW)
+    every = own.mapInArrow(_shingles, f"{ROW} long, component long, shingle long")
+    for name, value in (("used", F.count("*")), ("low", F.min("component")), ("high", F.max("component"))):
+        every = every.withColumn(name, value.over(of_shingle))
+    met = every.filter("low != high").drop("low", "high").withColumn("met", F.count("*").over(of_row))
+    met = met.withColumn("nth", F.row_number().over(of_row.orderBy("used", "shingle")))
+    met = met.join(own.select(ROW, "n_shingles"), ROW).withColumn("nth", F.expr("n_shingles - met + nth"))
+    upto = lambda share, whole: F.expr(f"n_shingles - (n_shingles * {share} + {whole - 1}) div {whole} + 1")
+    return met.filter(F.col("nth") <= upto(percent, 100)).select(
+        ROW, "component", "shingle", (F.col("nth") <= upto(2 * percent, 100 + percent)).alias("indexed"))
 
 
-def _prefixes(frequency, percent: int):
-    """The rarest shingles of each set, as many as decide: two sets that are linked share one of the larger set's first
-    n - ceil(t n) + 1 and of the smaller set's first n - ceil(2 t / (1 + t) n) + 1, in any order that all sets have in common."""
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row, component, s in zip(batch[ROW].to_pylist(), batch["component"].to_pylist(), _array(batch["shingles"], np.uint64), strict=True):
-                n = len(s)
-                probe, index = n + (-percent * n // 100) + 1, n + (-2 * percent * n // (100 + percent)) + 1
-                rare = s[np.lexsort((s, frequency.value[_bucket(s)]))[:probe]].view(np.int64)
-                out.append((np.full(len(rare), row), np.full(len(rare), component), np.full(len(rare), n), rare, np.arange(len(rare)) < index))
-            columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4 + [np.zeros(0, bool)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [ROW, "component", "n", "shingle", "indexed"])
-    return prefixes
+LINKS = "a long, b long"
 
 
-LINKS = "a long, b long"
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many members each of the left sets (rows) has in common with each of the right ones (columns)."""
+    sides = []
+    for sets in (left, right):
+        flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(flat)
+        flat, of = flat[order], of[order]
+        starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(flat)), bool), flat[1:] != flat[:-1]]))
+        sides.append((flat[starts], of, starts, np.diff(np.append(starts, len(flat)))))
+    (a, of_a, starts_a, n_a), (b, of_b, starts_b, n_b) = sides
+    counts = np.zeros((len(left), len(right)), np.int32)
+    at = np.searchsorted(b, a)
+    there = np.flatnonzero(at < len(b))
+    there = there[b[at[there]] == a[there]]
+    starts_a, n_a, starts_b, n_b = starts_a[there], n_a[there], starts_b[at[there]], n_b[at[there]]
+    pairs = n_a * n_b
+    often = pairs * SPARSE >= counts.size
+
+    def held(sets: int, of: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+        table, column = np.zeros((sets, len(n)), np.float32), np.repeat(np.arange(len(n)), n)
+        table[of[np.arange(n.sum()) + np.repeat(starts - (np.cumsum(n) - n), n)], column] = 1
+        return table
+
+    heavy = np.flatnonzero(often)
+    for k in range(0, len(heavy), 1024):
+        some = heavy[k: k + 1024]
+        counts += (held(len(left), of_a, starts_a[some], n_a[some]) @ held(len(right), of_b, starts_b[some], n_b[some]).T).astype(np.int32)
+    light = np.flatnonzero(~often)
+    for some in np.split(light, np.flatnonzero(np.diff(np.cumsum(pairs[light]) // PAIRS)) + 1):
+        if len(some):
+            many, column = pairs[some], np.repeat(some, pairs[some])
+            i, j = np.divmod(np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many), n_b[column])
+            np.add.at(counts.reshape(-1), of_a[starts_a[column] + i] * len(right) + of_b[starts_b[column] + j], 1)
+    return counts
 
 
 def _compared(percent: int):
-    """Links between the texts of two blocks (or inside one), all of different components before; no more than connect them."""
+    """Links between the texts of two blocks (or inside one), all of different components before; no more than connect them.
+
+    Links need both enough common shingles and the estimate of their registers. Shingles are counted for all pairs of the blocks
+    at once, which takes far less time a pair than the estimate, and so comes first."""
     def compare(table: pa.Table) -> pa.Table:
         row, label, n = (table[c].to_numpy() for c in (ROW, "component", "n"))
         lower = table["lower"].to_numpy(zero_copy_only=False)
-        registers = np.stack(_array(table["registers"], np.uint16))
-        sets = _array(table["shingles"], np.uint64)
         left, right = np.flatnonzero(lower), np.flatnonzero(~lower)
-        inside = not len(right)
-        found, joined = [], {}
-
-        def root(x: int) -> int:
-            while joined.get(x, x) != x:
-                x = joined[x]
-            return x
-
-        candidates = []
-        for i in left:
-            others = left[left > i] if inside else right
-            others = others[(label[others] != label[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
-            if len(others):
-                estimate = similarity(np.broadcast_to(registers[i], (len(others), REGISTERS)), registers[others], np.full(len(others), float(n[i])), n[others].astype(float))
-                near = estimate >= percent / 100 - MARGIN
-                candidates += [(-e, i, j) for e, j in zip(estimate[near], others[near], strict=True)]
-        for _, i, j in sorted(candidates):
-            x, y = root(int(label[i])), root(int(label[j]))
-            if x != y and _linked(sets[i], sets[j], percent):
-                joined[x] = y
-                found.append((min(row[i], row[j]), max(row[i], row[j])))
+        found, label = [], label.copy()
+        if len(left) and (label != label[0]).any():
+            registers = np.stack(_array(table["registers"], np.uint16))
+            sets = _array(table["shingles"], np.uint64)
+            inside = not len(right)
+            right = left if inside else right
+            both = common([sets[i] for i in left], [sets[j] for j in right])
+            linked = (100 + percent) * both.astype(np.int64) >= percent * (n[left][:, None] + n[right])
+            linked &= label[left][:, None] != label[right]
+            one, other = np.nonzero(np.triu(linked) if inside else linked)
+            one, other = left[one], right[other]
+            for at in range(0, len(one), PAIRS // REGISTERS):
+                i, j = one[at: at + PAIRS // REGISTERS], other[at: at + PAIRS // REGISTERS]
+                still = label[i] != label[j]
+                i, j = i[still], j[still]
+                estimate = similarity(registers[i], registers[j], n[i].astype(float), n[j].astype(float))
+                near = np.flatnonzero(estimate >= percent / 100 - MARGIN)
+                for k in near[np.lexsort((j[near], i[near], -estimate[near]))]:
+                    if label[i[k]] != label[j[k]] and _linked(sets[i[k]], sets[j[k]], percent):
+                        label[label == label[i[k]]] = label[j[k]]
+                        found.append((min(row[i[k]], row[j[k]]), max(row[i[k]], row[j[k]])))
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
     return compare
 
@@ -216,14 +255,10 @@ def crossing(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     Linked sets share a rare shingle; what rare shingles connect is a family, so sets that have only much-used lines and
     passages in common never meet. In a family, sets are told apart by size into classes (linked sizes are in one class or
-    the next) and classes into blocks of BLOCK rows, and each pair of blocks is compared in a task of its own that returns links
-    only. Rarity is counted in a table of fixed size, which any number of shingles may share."""
+    the next) and classes into blocks of about BLOCK_SHINGLES, and each pair of blocks is compared in a task of its own that
+    returns links only."""
     own = stored(apart.join(sets, ROW), "apart-sets")
-    table = own.select("shingles").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << FREQUENCY_BITS, np.int64)
-    counts[table["bucket"].to_numpy()] = table["n"].to_numpy()
-    frequency = apart.sparkSession.sparkContext.broadcast(counts)
-    rare = stored(own.mapInArrow(_prefixes(frequency, percent), f"{ROW} long, component long, n long, shingle long, indexed boolean"), "prefixes")
+    rare = stored(rarest(own, percent), "prefixes")
     met = rare.groupBy("shingle").agg(F.min(ROW).alias("first"), F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("indexed").alias("indexed"))
     met = stored(met.filter("low != high AND indexed").select("shingle", "first"), "met")
     family = components(rare.join(met, "shingle").select(F.col("first").alias("a"), F.col(ROW).alias("b")).filter("a != b").distinct())
@@ -231,7 +266,7 @@ def crossing(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = own.join(family.select(F.col("node").alias(ROW), F.col("component").alias("family")), ROW).withColumn("size_class", size_class)
     members = stored(members.select(ROW, "component", "family", "size_class", F.col("n_shingles").alias("n"), "registers", "shingles"), "members")
     done_with(own, rare, met)
-    parts = stored(members.groupBy("family", "size_class").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "parts")
+    parts = stored(members.groupBy("family", "size_class").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts")), "parts")
     beside = lambda step: parts.select("family", (F.col("size_class") + step).alias("size_class"), F.col("parts").alias("above" if step < 0 else "below"))
     parts = parts.join(beside(-1), ["family", "size_class"], "left").join(beside(1), ["family", "size_class"], "left").fillna(0, ["above", "below"])
     placed = members.join(parts, ["family", "size_class"]).withColumn("part", F.pmod(F.xxhash64(ROW), F.col("parts")).cast("int"))
@@ -274,8 +309,9 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     is sketched and compared once. In each bucket of a band every class is compared with the first one; afterwards
     classes of a bucket that are still in different components are compared with each other if they share a rare shingle, as all
     linked ones do. So no link between components is lost, and neither the pairs inside a large group of copies nor those that
-    share much-used passages only are formed. Candidates pass the likelihood
-    estimate of their registers before full sets are fetched, and every link is confirmed on them.
+    share much-used passages only are formed. Pairs with the first one pass the likelihood estimate of their registers before
+    full sets are fetched; those of a family have their common shingles counted first. Every link passes the estimate and is
+    confirmed on full sets.
 
     A null text is an empty one; texts without words have no shingles and are linked with nothing. A null doc_id counts as the
     largest; of rows with equal doc_id the first one read is kept. Repeated rows are one class. An empty table gives
